@@ -59,10 +59,10 @@ def tagged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
-    lines = li.join(part, li.l_partkey == part.p_partkey, "inner").drop("p_partkey")
-    counts = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
+    counts = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.filter(F.col("_n") > MAX_ITEMS).select(
         "l_orderkey", F.ceil(F.col("_n") / F.lit(MAX_ITEMS)).cast("bigint").alias("_parts"))
+    lines = li.join(part, li.l_partkey == part.p_partkey, "inner").drop("p_partkey")
     tagged = lines.join(hot, "l_orderkey", "left")
     part_no = F.when(F.col("_parts").isNull(), F.lit(0).cast("bigint")).otherwise(F.pmod(line_hash(), F.col("_parts")))
     return tagged.withColumn("part_no", part_no).drop("_parts")

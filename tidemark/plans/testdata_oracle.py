@@ -53,7 +53,7 @@ lines AS (
   SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_returnflag, l.l_linestatus,
          l.l_shipdate, p.p_brand, p.p_type
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
-cnt AS (SELECT l_orderkey, count(*) AS n FROM lines GROUP BY l_orderkey),
+cnt AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey),
 tagged AS (
   SELECT lines.*,
          CASE WHEN cnt.n > {fixtures.MAX_ITEMS}
