@@ -233,9 +233,8 @@ def _order_facts(o: DataFrame) -> DataFrame:
 def append_after_date(spark: SparkSession, d: str) -> DataFrame:
     o = T(spark, d, "orders")
     target = _order_facts(o.filter(F.col("o_orderdate") < _ts(FACT_CUTOFF_DATE)))
-    batch = history.flag_latest(o, ["o_orderkey"], ["o_orderdate"])
-    new = incremental.append_after_date(target, batch, "fact_date", current=F.col("is_current") == 1,
-                                        ts_col="o_orderdate")
+    new = incremental.append_after_date(target, o, "fact_date", ts_col="o_orderdate",
+                                        keys=["o_orderkey"], order=["o_orderdate"])
     return _order_facts(new)
 
 
