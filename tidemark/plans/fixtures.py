@@ -92,7 +92,7 @@ def packed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_versions(spark: SparkSession, sf_dir: str, bucket_seconds: int = 30 * 86400) -> DataFrame:
+def order_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packed records as a type 2 history of their customer: version time
     ``o_orderdate``, ties broken by order key and part; valid until the
     customer's next version."""
@@ -102,4 +102,4 @@ def order_versions(spark: SparkSession, sf_dir: str, bucket_seconds: int = 30 *
     vid = F.md5(F.concat_ws("|", F.col("o_custkey").cast("string"), ts_text("o_orderdate"),
                             F.col("o_orderkey").cast("string"), F.col("part_no").cast("string")))
     return history_from_changes(v, ["o_custkey"], ["o_orderdate", "o_orderkey", "part_no"],
-                                version_id=vid, bucket_seconds=bucket_seconds)
+                                version_id=vid)
