@@ -7,7 +7,8 @@ the shapes the operators consume, in Spark, from the whole tables:
 * ``raw_events`` stamps events as landed raw rows (load id, row id);
 * ``packed_orders`` packs each order's lines into records holding JSON arrays
   (a genres-like list and a credits-like object) and a page of items;
-* ``order_versions`` makes those records versions of their customer.
+* ``order_versions`` makes orders versions of their customer and attaches
+  each order's records.
 
 Packing is bounded: an order with more than ``MAX_ITEMS`` lines (a hot key) is
 split into ``ceil(n / MAX_ITEMS)`` records by a content hash of the line, so no
@@ -93,13 +94,16 @@ def packed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Packed records as a type 2 history of their customer: version time
-    ``o_orderdate``, ties broken by order key and part; valid until the
-    customer's next version."""
-    rec = packed_orders(spark, sf_dir)
+    """Orders as a type 2 history of their customer (version time
+    ``o_orderdate``, ties broken by order key, valid until the customer's next
+    order), with each order's packed records attached.
+
+    The validity is computed on the narrow ``orders`` table; the packed records
+    (one per order, or a few for a hot order) join it by order key.  An order
+    without lines is still a version: it ends the one before it."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    v = rec.join(orders, rec.l_orderkey == orders.o_orderkey, "inner").drop("l_orderkey")
     vid = F.md5(F.concat_ws("|", F.col("o_custkey").cast("string"), ts_text("o_orderdate"),
-                            F.col("o_orderkey").cast("string"), F.col("part_no").cast("string")))
-    return history_from_changes(v, ["o_custkey"], ["o_orderdate", "o_orderkey", "part_no"],
-                                version_id=vid)
+                            F.col("o_orderkey").cast("string")))
+    hist = history_from_changes(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], version_id=vid)
+    rec = packed_orders(spark, sf_dir)
+    return rec.join(hist, rec.l_orderkey == hist.o_orderkey, "inner").drop("l_orderkey")

@@ -66,21 +66,20 @@ tagged AS (
 VERSIONS = LINES + f""",
 rec AS (SELECT l_orderkey, part_no, count(*) AS n_items FROM tagged GROUP BY l_orderkey, part_no),
 ver AS (
-  SELECT r.l_orderkey, r.part_no, r.n_items, o.o_custkey,
-         md5(concat_ws('|', o.o_custkey::VARCHAR, {ts_text('o.o_orderdate')}, o.o_orderkey::VARCHAR,
-                       r.part_no::VARCHAR)) AS version_id,
-         o.o_orderdate AS dbt_valid_from,
-         lead(o.o_orderdate) OVER (PARTITION BY o.o_custkey ORDER BY o.o_orderdate, o.o_orderkey, r.part_no)
-           AS dbt_valid_to,
-         row_number() OVER (PARTITION BY o.o_custkey
-                            ORDER BY o.o_orderdate DESC, o.o_orderkey DESC, r.part_no DESC) AS rn
-  FROM rec r JOIN orders o ON o.o_orderkey = r.l_orderkey),
+  SELECT o_orderkey, o_custkey,
+         md5(concat_ws('|', o_custkey::VARCHAR, {ts_text('o_orderdate')}, o_orderkey::VARCHAR)) AS version_id,
+         o_orderdate AS dbt_valid_from,
+         lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS dbt_valid_to,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+  FROM orders),
 vt AS (
-  SELECT t.*, v.version_id, v.o_custkey, v.n_items, v.dbt_valid_from, v.dbt_valid_to,
+  SELECT t.*, r.n_items, v.version_id, v.o_custkey, v.dbt_valid_from, v.dbt_valid_to,
          CASE WHEN v.rn = 1 THEN 1 ELSE 0 END AS is_current,
          CAST(v.dbt_valid_from AS DATE) AS valid_from,
          CASE WHEN v.rn = 1 THEN {OPEN_END} ELSE {day_before('v.dbt_valid_to')} END AS valid_to
-  FROM tagged t JOIN ver v ON t.l_orderkey = v.l_orderkey AND t.part_no = v.part_no)"""
+  FROM tagged t
+  JOIN rec r ON t.l_orderkey = r.l_orderkey AND t.part_no = r.part_no
+  JOIN ver v ON v.o_orderkey = t.l_orderkey)"""
 
 
 def _latest(where: str = "") -> str:
