@@ -154,3 +154,29 @@ def test_write_json_batch(spark, tmp_path):
     df = spark.createDataFrame([(1, "a")], "id int, t string")
     landing.write_json_batch(df, str(tmp_path / "batch"))
     assert spark.read.json(str(tmp_path / "batch")).count() == 1
+
+
+def test_enrich_not_found_body(spark):
+    ids = spark.createDataFrame([(1,), (2,)], "id bigint")
+    details = spark.createDataFrame([(1, "ok", 200), (2, "Not found", 200)], "id bigint, body string, status int")
+    got = enrich.enrich_found(ids, details, "id", body="body").collect()
+    assert [r.id for r in got] == [1] and "body" not in got[0].asDict()
+
+
+def test_read_evolving(spark, tmp_path):
+    spark.createDataFrame([(1,)], "id bigint").write.parquet(str(tmp_path / "raw" / "load=1"))
+    spark.createDataFrame([(2, 5)], "id bigint, belongs_to_collection__id bigint").write.parquet(
+        str(tmp_path / "raw" / "load=2"))
+    got = sorted((r.id, r.belongs_to_collection__id) for r in rawload.read_evolving(spark, str(tmp_path / "raw")).collect())
+    assert got == [(1, None), (2, 5)]
+
+
+def test_ledger_counts_failed_pages(spark):
+    p = spark.createDataFrame(
+        [("L1", 1, [(1, False)]), ("L1", 2, None), ("L2", 1, [(2, True)])],
+        "_dlt_load_id string, page int, results array<struct<id:bigint, adult:boolean>>")
+    items = pages.flatten_pages(p, listing=["_dlt_load_id"])
+    ledger = rawload.load_ledger(items.withColumn("ts", F.lit(None).cast("timestamp_ntz")), "s", "ts", "h",
+                                 failed_pages=pages.failed_page_count(p, by=["_dlt_load_id"]))
+    got = {r.load_id: (r.row_count, r.failed_pages) for r in ledger.collect()}
+    assert got == {"L1": (1, 1), "L2": (1, 0)}
