@@ -61,3 +61,24 @@ def test_oracle_matches_smallest_scale(spark):
         if len(s) != len(o) or sorted(s.columns) != sorted(o.columns) or chk.digest(s) != chk.digest(o):
             bad.append(name)
     assert bad == []
+
+
+# Upper bounds on shuffles and scans of the core operators (regressions fail).
+PLAN_BOUNDS = {
+    "latest_per_key": (1, 1),          # partial + final aggregate, one exchange
+    "snapshot_second_run": (2, 2),     # two latest-per-key; the merge join reuses their partitioning
+    "dimension_full_refresh": (2, 2),
+    "constraint_checks": (4, 2),       # one scan and one key shuffle per table
+    "change_window": (0, 1),
+    "union_sources": (0, 2),
+    "stage_rename": (0, 1),
+}
+
+
+@pytest.mark.parametrize("name", sorted(PLAN_BOUNDS))
+def test_plan_bounds(spark, name):
+    from scripts.plan_audit import audit
+
+    a = audit(E.queries()[name](spark, SF))
+    max_shuffles, max_scans = PLAN_BOUNDS[name]
+    assert a["shuffles"] <= max_shuffles and len(a["scans"]) <= max_scans, a
