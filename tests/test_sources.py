@@ -51,8 +51,14 @@ def test_pages_flatten_drops_failed(spark):
 
 def test_pages_missing_first_raises(spark):
     p = _pages(spark, [(1, 2, None), (2, 2, [(1, False)])])
-    with pytest.raises(pages.MissingFirstPage):
-        pages.flatten_pages(p)
+    with pytest.raises(Exception, match="first page"):
+        pages.flatten_pages(p).collect()
+    listed = spark.createDataFrame(
+        [("a", 1, [(1, False)]), ("b", 2, [(2, False)])],
+        "listing string, page int, results array<struct<id:bigint, adult:boolean>>")
+    with pytest.raises(Exception, match="first page"):
+        pages.flatten_pages(listed, listing=["listing"]).collect()
+    assert pages.flatten_pages(listed.filter("listing = 'a'"), listing=["listing"]).count() == 1
 
 
 def test_change_window_inclusive(spark):

@@ -192,7 +192,7 @@ def snapshot_second_run(spark: SparkSession, d: str) -> DataFrame:
 def version_validity(spark: SparkSession, d: str) -> DataFrame:
     ev = T(spark, d, "events").select("event_id", "user_id", "ts")
     h = history.history_from_changes(ev, ["user_id"], ["ts", "event_id"])
-    h = history.add_validity(h, history.current_flag_open()).withColumn("is_current", history.current_flag_open())
+    h = history.add_validity(h.withColumn("is_current", history.current_flag_open()))
     return h.select("event_id", "user_id", history.SCD_ID, history.VALID_FROM, history.VALID_TO,
                     "is_current", "valid_from", "valid_to")
 
