@@ -13,7 +13,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.keys import scd_id
 from tidemark.functions.timefmt import to_day
 from tidemark.operators import checks, history, incremental, latest, marts, staging, unions
 from tidemark.plans import fixtures
