@@ -107,3 +107,59 @@ def order_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     hist = history_from_changes(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], version_id=vid)
     rec = packed_orders(spark, sf_dir)
     return rec.join(hist, rec.l_orderkey == hist.o_orderkey, "inner").drop("l_orderkey")
+
+
+def movie_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The four raw tables of the movie/person build, derived from the driver
+    tables, all loads landed so far.
+
+    Movies: each packed order record is a landed row of movie ``o_custkey``,
+    loaded at ``o_orderdate`` (load id = its epoch text), with the record's
+    genres and credits JSON; finished orders (status F) land in the export
+    table, the others in the changes table.  Persons: every customer in a
+    first load, then the customers of nation 3 again in a second load with a
+    new popularity."""
+    from tidemark.sources.rawload import apply_schema
+    from tidemark.sources.schemas import MOVIE_CHANGES, PERSON_CHANGES, TMDB_MOVIES, TMDB_PERSONS
+
+    rec = packed_orders(spark, sf_dir)
+    orders = table(spark, sf_dir, "orders")
+    m = rec.join(orders, rec.l_orderkey == orders.o_orderkey, "inner")
+    lid = epoch_seconds_text("o_orderdate")
+    base = m.select(
+        F.col("o_custkey").alias("id"), F.col("o_orderpriority").alias("title"),
+        F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("popularity"),
+        F.col("n_items").alias("vote_count"), "genres", "credits",
+        lid.alias("_dlt_load_id"),
+        row_id(lid, F.col("o_custkey"), F.col("o_orderkey"), F.col("part_no")).alias("_dlt_id"),
+    )
+    export = apply_schema(base.filter(F.col("status") == "F").withColumn("_entity_type", F.lit("movie")),
+                          TMDB_MOVIES, keep_extra=False)
+    changes = apply_schema(base.filter(F.col("status") != "F"), MOVIE_CHANGES, keep_extra=False)
+
+    cust = table(spark, sf_dir, "customer")
+    p1 = cust.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+                     F.col("c_acctbal").alias("popularity"), F.lit(PERSON_LOAD_1).alias("_dlt_load_id"),
+                     F.lit("person").alias("_entity_type"))
+    p2 = (cust.filter(F.col("c_nationkey") == 3)
+          .select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+                  (F.col("c_acctbal") + F.lit(1.0)).alias("popularity"),
+                  F.lit(PERSON_LOAD_2).alias("_dlt_load_id"), F.lit("person").alias("_entity_type")))
+    persons = p1.unionByName(p2).withColumn("_dlt_id", row_id(F.col("_dlt_load_id"), F.col("id")))
+    return {
+        "tmdb_movies": export,
+        "movie_changes": changes,
+        "tmdb_persons": apply_schema(persons, TMDB_PERSONS, keep_extra=False),
+        "person_changes": apply_schema(persons.limit(0), PERSON_CHANGES, keep_extra=False),
+    }
+
+
+# Fixed parameters of the movie build over the driver tables.
+MOVIE_LOAD_CUTOFF = "883612800.000000"   # 1998-01-01 00:00:00 UTC as a load id
+PERSON_LOAD_1 = "852076800.000000"       # 1997-01-01 00:00:00 UTC
+PERSON_LOAD_2 = "999302400.000000"       # 2001-09-01 00:00:00 UTC
+
+
+def raw_until(raw: dict[str, DataFrame], load_id: str) -> dict[str, DataFrame]:
+    """The raw tables as they stood when loads up to ``load_id`` (excluded) had landed."""
+    return {k: v.filter(F.col("_dlt_load_id") < F.lit(load_id)) for k, v in raw.items()}

@@ -129,6 +129,36 @@ def _catalog() -> str:
 
 EV_LOAD = epoch_text("ts")
 
+OD_LOAD = epoch_text("o.o_orderdate")
+
+MOVIE_BRIDGE = f"""
+WITH {LINES},
+rec AS (SELECT l_orderkey, part_no, count(*) AS n_items FROM tagged GROUP BY l_orderkey, part_no),
+st AS (
+  SELECT o.o_custkey AS tmdb_id, {OD_LOAD} AS load_id, {local(OD_LOAD)} AS load_date,
+         {row_id(OD_LOAD, 'o.o_custkey', 'o.o_orderkey', 'r.part_no')} AS dlt_id,
+         r.l_orderkey, r.part_no, r.n_items
+  FROM rec r JOIN orders o ON o.o_orderkey = r.l_orderkey),
+r1 AS (SELECT * FROM st WHERE load_id < '{fixtures.MOVIE_LOAD_CUTOFF}'
+       QUALIFY row_number() OVER (PARTITION BY tmdb_id ORDER BY load_id DESC, dlt_id DESC) = 1),
+r2 AS (SELECT * FROM st
+       QUALIFY row_number() OVER (PARTITION BY tmdb_id ORDER BY load_id DESC, dlt_id DESC) = 1),
+v1 AS (SELECT r1.tmdb_id, r1.l_orderkey, r1.part_no, r1.n_items, {scd('r1.tmdb_id', 'r1.load_date')} AS scd_id,
+              r1.load_date AS dbt_updated_at, r1.load_date AS dbt_valid_from,
+              CASE WHEN r2.load_date > r1.load_date THEN r2.load_date END AS dbt_valid_to
+       FROM r1 LEFT JOIN r2 ON r1.tmdb_id = r2.tmdb_id),
+v2 AS (SELECT r2.tmdb_id, r2.l_orderkey, r2.part_no, r2.n_items, {scd('r2.tmdb_id', 'r2.load_date')} AS scd_id,
+              r2.load_date AS dbt_updated_at, r2.load_date AS dbt_valid_from, CAST(NULL AS TIMESTAMP) AS dbt_valid_to
+       FROM r2 LEFT JOIN r1 ON r1.tmdb_id = r2.tmdb_id
+       WHERE r1.tmdb_id IS NULL OR r2.load_date > r1.load_date),
+snap AS (SELECT * FROM v1 UNION ALL SELECT * FROM v2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY tmdb_id ORDER BY dbt_updated_at DESC) AS rn FROM snap)
+SELECT md5(v.scd_id || ({BRAND})::VARCHAR) AS dim_movie_genre_id, v.scd_id AS dim_movie_id, {BRAND} AS genre_id,
+       1.0::DOUBLE / v.n_items AS genre_weight, v.dbt_valid_from, v.dbt_valid_to,
+       CASE WHEN v.rn = 1 THEN 1 ELSE 0 END AS is_current, CAST(v.dbt_valid_from AS DATE) AS valid_from,
+       CASE WHEN v.rn = 1 THEN {OPEN_END} ELSE {day_before('v.dbt_valid_to')} END AS valid_to
+FROM ranked v JOIN tagged t ON t.l_orderkey = v.l_orderkey AND t.part_no = v.part_no"""
+
 ORACLE = {
     "export_scan_limit": f"""
 SELECT event_id, ts, user_id, event_type, value, props, 'event' AS _entity_type,
@@ -301,4 +331,6 @@ open2 AS (SELECT tmdb_id, load_date, value FROM new_open
 f2 AS (SELECT {scd('tmdb_id', 'load_date')} AS dim_event_id, CAST(load_date AS DATE) AS fact_date, value
        FROM open2 WHERE CAST(load_date AS DATE) > (SELECT max(fact_date) FROM f1))
 SELECT * FROM f1 UNION ALL SELECT * FROM f2""",
+
+    "movie_marts_end_to_end": MOVIE_BRIDGE,
 }
