@@ -23,22 +23,29 @@ from tidemark.sources import rawload
 from tidemark.sources.exports import tag_entity
 
 
-def landed_exports(spark: SparkSession, landing_dir: str, schema: StructType, entity: str,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame of the JSON-lines exports landed under ``landing_dir``."""
+def landed_exports(spark: SparkSession, landing_dir: str, schema: StructType, entity: str | None,
+                   max_files_per_trigger: int | None = None, flatten: bool = False) -> DataFrame:
+    """Streaming DataFrame of the JSON-lines exports landed under ``landing_dir``.
+
+    ``flatten`` turns nested objects into ``parent__child`` columns (A12);
+    ``entity`` tags export rows (change tables carry no tag)."""
     r = spark.readStream.schema(schema).option("mode", "FAILFAST")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     df = r.json(landing_dir)
     lid = rawload.load_id_of(F.col("_metadata.file_modification_time").cast("timestamp_ntz"))
-    return tag_entity(df, entity).withColumn(rawload.LOAD_ID, lid)
+    df = df.withColumn(rawload.LOAD_ID, lid)
+    if flatten:
+        df = rawload.flatten_nested(df)
+    return tag_entity(df, entity) if entity else df
 
 
-def append_new_exports(spark: SparkSession, landing_dir: str, schema: StructType, entity: str,
-                       raw_path: str, ledger_path: str, checkpoint: str, key: list[str]) -> None:
+def append_new_exports(spark: SparkSession, landing_dir: str, schema: StructType, entity: str | None,
+                       raw_path: str, ledger_path: str, checkpoint: str, key: list[str],
+                       flatten: bool = False) -> None:
     """Load every export file not loaded before, then stop."""
-    stream = landed_exports(spark, landing_dir, schema, entity)
-    content = [f.name for f in schema.fields if f.name not in key] + ["_entity_type"]
+    stream = landed_exports(spark, landing_dir, schema, entity, flatten=flatten)
+    content = [c for c in stream.columns if c not in key and c != rawload.LOAD_ID]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         stamped = batch.withColumn(
@@ -47,7 +54,7 @@ def append_new_exports(spark: SparkSession, landing_dir: str, schema: StructType
         )
         (stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(rawload.LOAD_ID).parquet(raw_path))
-        ledger = rawload.load_ledger(stamped, entity, F.current_timestamp(), schema.simpleString())
+        ledger = rawload.load_ledger(stamped, entity or "changes", F.current_timestamp(), schema.simpleString())
         (ledger.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("load_id").parquet(ledger_path))
 
