@@ -133,9 +133,12 @@ def movie_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         lid.alias("_dlt_load_id"),
         row_id(lid, F.col("o_custkey"), F.col("o_orderkey"), F.col("part_no")).alias("_dlt_id"),
     )
-    export = apply_schema(base.filter(F.col("status") == "F").withColumn("_entity_type", F.lit("movie")),
-                          TMDB_MOVIES, keep_extra=False)
-    changes = apply_schema(base.filter(F.col("status") != "F"), MOVIE_CHANGES, keep_extra=False)
+    # One frame for both movie tables, routed by ``raw_table`` (export rows
+    # tagged), so landing packs the lines once.
+    movies = apply_schema(
+        base.withColumn("_entity_type", F.when(F.col("status") == "F", F.lit("movie"))),
+        TMDB_MOVIES, keep_extra=False,
+    ).withColumn("raw_table", F.when(F.col("status") == "F", F.lit("tmdb_movies")).otherwise(F.lit("movie_changes")))
 
     cust = table(spark, sf_dir, "customer")
     p1 = cust.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
@@ -147,13 +150,32 @@ def movie_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                   F.lit(PERSON_LOAD_2).alias("_dlt_load_id"), F.lit("person").alias("_entity_type")))
     persons = p1.unionByName(p2).withColumn("_dlt_id", row_id(F.col("_dlt_load_id"), F.col("id")))
     return {
-        "tmdb_movies": export,
-        "movie_changes": changes,
+        "movies": movies,
         "tmdb_persons": apply_schema(persons, TMDB_PERSONS, keep_extra=False),
         "person_changes": apply_schema(persons.limit(0), PERSON_CHANGES, keep_extra=False),
     }
 
 
+def land_movie_raw(spark: SparkSession, sf_dir: str, root: str) -> dict[str, DataFrame]:
+    """Write the derived raw tables under ``root/raw`` (the two movie tables in
+    one routed write) and return the four raw tables read back."""
+    from tidemark.sources.schemas import MOVIE_CHANGES, TMDB_MOVIES, struct_of
+
+    derived = movie_raw(spark, sf_dir)
+    derived["movies"].write.mode("overwrite").partitionBy("raw_table").parquet(f"{root}/raw/movies")
+    schema = struct_of(TMDB_MOVIES).add("raw_table", "string")
+    movies = spark.read.schema(schema).parquet(f"{root}/raw/movies")
+    raw = {
+        "tmdb_movies": movies.filter(F.col("raw_table") == "tmdb_movies").select(*[c for c, _ in TMDB_MOVIES]),
+        "movie_changes": movies.filter(F.col("raw_table") == "movie_changes").select(*[c for c, _ in MOVIE_CHANGES]),
+    }
+    for name in ("tmdb_persons", "person_changes"):
+        df = derived[name]
+        df.write.mode("overwrite").parquet(f"{root}/raw/{name}")
+        raw[name] = spark.read.schema(df.schema).parquet(f"{root}/raw/{name}")
+    return raw
+
+
 # Fixed parameters of the movie build over the driver tables.
 MOVIE_LOAD_CUTOFF = "883612800.000000"   # 1998-01-01 00:00:00 UTC as a load id
 PERSON_LOAD_1 = "852076800.000000"       # 1997-01-01 00:00:00 UTC

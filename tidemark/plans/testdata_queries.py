@@ -290,10 +290,7 @@ def movie_marts_end_to_end(spark: SparkSession, d: str) -> DataFrame:
 
     root = f"{state_dir(spark)}/tidemark-movies-{uuid.uuid4().hex}"
     # Land the raw tables once, as the ingest does; the builds read them.
-    raw = {}
-    for name, df in fixtures.movie_raw(spark, d).items():
-        df.write.mode("overwrite").parquet(f"{root}/raw/{name}")
-        raw[name] = spark.read.schema(df.schema).parquet(f"{root}/raw/{name}")
+    raw = fixtures.land_movie_raw(spark, d, root)
     build(spark, fixtures.raw_until(raw, fixtures.MOVIE_LOAD_CUTOFF), root, run_date="1998-01-01", n_buckets=16)
     return build(spark, raw, root, run_date="2001-09-01", n_buckets=16)["dim_movies_genres"]
 
