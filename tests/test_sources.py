@@ -186,3 +186,12 @@ def test_ledger_counts_failed_pages(spark):
                                  failed_pages=pages.failed_page_count(p, by=["_dlt_load_id"]))
     got = {r.load_id: (r.row_count, r.failed_pages) for r in ledger.collect()}
     assert got == {"L1": (1, 1), "L2": (1, 0)}
+
+
+def test_raw_catalog(spark):
+    raw = {"tmdb_movies": spark.createDataFrame([], schemas.struct_of(schemas.TMDB_MOVIES)),
+           "movie_changes": spark.createDataFrame([], schemas.struct_of(schemas.MOVIE_CHANGES))}
+    out = catalog.raw_catalog(raw).collect()
+    assert len(out) == 33 + 32
+    genres = [r for r in out if r.table_name == "movie_changes" and r.column_name == "genres"][0]
+    assert genres.data_type == "string" and "genres" in genres.description and genres.non_null == 0

@@ -29,6 +29,9 @@ RAW_DESCRIPTIONS = {
     },
 }
 
+# Change tables share the descriptions of their export table.
+DESCRIBED_AS = {"movie_changes": "tmdb_movies", "person_changes": "tmdb_persons"}
+
 # Descriptions of the driver's lineitem table, used by the catalog query.
 LINEITEM_CATALOG = [
     ("l_orderkey", "bigint", "order the line belongs to"),
@@ -57,3 +60,19 @@ def describe_source(df: DataFrame, table_name: str, columns: list[tuple[str, str
         F.lit(table_name).alias("table_name"), "column_name", "data_type", "description",
         F.col("non_null").cast("bigint").alias("non_null"),
     )
+
+
+def raw_catalog(raw: dict[str, DataFrame]) -> DataFrame:
+    """The source declaration of the raw tables (A17): every declared column of
+    each table with its type, description and non-NULL count, one aggregate
+    pass per table."""
+    from functools import reduce
+
+    from tidemark.sources.schemas import RAW_TABLES, spark_type
+
+    parts = []
+    for name, df in raw.items():
+        notes = RAW_DESCRIPTIONS.get(DESCRIBED_AS.get(name, name), {})
+        cols = [(c, spark_type(t), notes.get(c, "")) for c, t in RAW_TABLES[name]]
+        parts.append(describe_source(df, name, cols))
+    return reduce(lambda a, b: a.unionByName(b), parts)
