@@ -64,9 +64,16 @@ def tagged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.filter(F.col("_n") > MAX_ITEMS).select(
         "l_orderkey", F.ceil(F.col("_n") / F.lit(MAX_ITEMS)).cast("bigint").alias("_parts"))
-    tagged = lines.join(hot, "l_orderkey", "left")
-    part_no = F.when(F.col("_parts").isNull(), F.lit(0).cast("bigint")).otherwise(F.pmod(line_hash(), F.col("_parts")))
-    return tagged.withColumn("part_no", part_no).drop("_parts")
+    # Part 0 of a hot order always holds its line with the smallest hash, so
+    # every split order keeps a first record (its page 1).
+    firsts = (lines.join(hot, "l_orderkey", "inner").groupBy("l_orderkey")
+              .agg(F.min(line_hash()).alias("_first")))
+    tagged = lines.join(hot.join(firsts, "l_orderkey", "inner"), "l_orderkey", "left")
+    h = line_hash()
+    part_no = (F.when(F.col("_parts").isNull(), F.lit(0).cast("bigint"))
+               .when(h == F.col("_first"), F.lit(0).cast("bigint"))
+               .otherwise(F.pmod(h, F.col("_parts"))))
+    return tagged.withColumn("part_no", part_no).drop("_parts", "_first")
 
 
 def packed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

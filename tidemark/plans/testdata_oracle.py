@@ -54,14 +54,19 @@ lines AS (
          l.l_shipdate, p.p_brand, p.p_type
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
 cnt AS (SELECT l_orderkey, count(*) AS n FROM lines GROUP BY l_orderkey),
+hashed AS (
+  SELECT lines.*, cnt.n,
+         ('0x' || substr(md5(concat_ws('|', lines.l_orderkey::VARCHAR, l_linenumber::VARCHAR,
+               l_partkey::VARCHAR, l_suppkey::VARCHAR, {ts_text('l_shipdate')})), 1, 8))::BIGINT AS h
+  FROM lines JOIN cnt ON lines.l_orderkey = cnt.l_orderkey),
+firsts AS (SELECT l_orderkey, min(h) AS first_h FROM hashed WHERE n > {fixtures.MAX_ITEMS} GROUP BY l_orderkey),
 tagged AS (
-  SELECT lines.*,
-         CASE WHEN cnt.n > {fixtures.MAX_ITEMS}
-              THEN (('0x' || substr(md5(concat_ws('|', lines.l_orderkey::VARCHAR, l_linenumber::VARCHAR,
-                        l_partkey::VARCHAR, l_suppkey::VARCHAR, {ts_text('l_shipdate')})), 1, 8))::BIGINT)
-                   % CAST(ceil(cnt.n / {fixtures.MAX_ITEMS}) AS BIGINT)
-              ELSE CAST(0 AS BIGINT) END AS part_no
-  FROM lines JOIN cnt ON lines.l_orderkey = cnt.l_orderkey)"""
+  SELECT hashed.l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus, l_shipdate,
+         p_brand, p_type,
+         CASE WHEN n <= {fixtures.MAX_ITEMS} THEN CAST(0 AS BIGINT)
+              WHEN h = first_h THEN CAST(0 AS BIGINT)
+              ELSE h % CAST(ceil(n / {fixtures.MAX_ITEMS}) AS BIGINT) END AS part_no
+  FROM hashed LEFT JOIN firsts ON hashed.l_orderkey = firsts.l_orderkey)"""
 
 VERSIONS = LINES + f""",
 rec AS (SELECT l_orderkey, part_no, count(*) AS n_items FROM tagged GROUP BY l_orderkey, part_no),
