@@ -8,9 +8,10 @@ stops, and each micro-batch is appended by ``foreachBatch``.
 
 Each landed file is one load.  Its load id is the file's modification time as
 epoch text, and row ids hash (load id, key, content), so a micro-batch that is
-replayed after a failure writes the same rows again; the raw table is
-partitioned by load id and written with dynamic partition overwrite, so a
-replay replaces its own partitions instead of duplicating them.
+replayed after a failure writes the same rows again.  The raw table is
+partitioned by micro-batch id and written with dynamic partition overwrite: a
+replay replaces exactly its own output, and two batches never overwrite each
+other (even for files that share a modification time).
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from pyspark.sql.types import StructType
 from tidemark.sources import rawload
 from tidemark.sources.exports import tag_entity
 
+BATCH = "_batch"
+
 
 def landed_exports(spark: SparkSession, landing_dir: str, schema: StructType, entity: str | None,
                    max_files_per_trigger: int | None = None, flatten: bool = False) -> DataFrame:
@@ -42,21 +45,18 @@ def landed_exports(spark: SparkSession, landing_dir: str, schema: StructType, en
 
 def append_new_exports(spark: SparkSession, landing_dir: str, schema: StructType, entity: str | None,
                        raw_path: str, ledger_path: str, checkpoint: str, key: list[str],
-                       flatten: bool = False) -> None:
+                       flatten: bool = False, max_files_per_trigger: int | None = None) -> None:
     """Load every export file not loaded before, then stop."""
-    stream = landed_exports(spark, landing_dir, schema, entity, flatten=flatten)
+    stream = landed_exports(spark, landing_dir, schema, entity, max_files_per_trigger, flatten=flatten)
     content = [c for c in stream.columns if c not in key and c != rawload.LOAD_ID]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        stamped = batch.withColumn(
-            rawload.ROW_ID,
-            rawload.row_id_col(rawload.LOAD_ID, key, content),
-        )
-        (stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(rawload.LOAD_ID).parquet(raw_path))
+        stamped = batch.withColumn(rawload.ROW_ID, rawload.row_id_col(rawload.LOAD_ID, key, content))
+        (stamped.withColumn(BATCH, F.lit(batch_id)).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(raw_path))
         ledger = rawload.load_ledger(stamped, entity or "changes", F.current_timestamp(), schema.simpleString())
-        (ledger.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("load_id").parquet(ledger_path))
+        (ledger.withColumn(BATCH, F.lit(batch_id)).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(ledger_path))
 
     q = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
