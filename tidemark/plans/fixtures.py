@@ -8,13 +8,16 @@ the shapes the operators consume, in Spark, from the whole tables:
 * ``packed_orders`` packs each order's lines into records holding JSON arrays
   (a genres-like list and a credits-like object) and a page of items;
 * ``order_versions`` makes orders versions of their customer and attaches
-  each order's records.
+  each order's records;
+* ``movie_raw`` / ``land_movie_raw`` derive and land the four raw tables of the
+  movie and person build.
 
 Packing is bounded: an order with more than ``MAX_ITEMS`` lines (a hot key) is
-split into ``ceil(n / MAX_ITEMS)`` records by a content hash of the line, so no
-``collect_list`` ever gathers an unbounded group.  Line counts per order are a
-partial/final aggregate; the hot-order list joined back has at most
-``rows / MAX_ITEMS`` entries and AQE broadcasts it when small.
+split into ``ceil(n / MAX_ITEMS)`` records by a content hash of the line (its
+smallest-hash line always in record 0), so no ``collect_list`` ever gathers an
+unbounded group.  Line counts per order are a partial/final aggregate; the
+hot-order list joined back has at most ``rows / MAX_ITEMS`` entries and AQE
+broadcasts it when small.
 """
 
 from __future__ import annotations
