@@ -72,6 +72,10 @@ PLAN_BOUNDS = {
     "change_window": (0, 1),
     "union_sources": (0, 2),
     "stage_rename": (0, 1),
+    "version_validity": (3, 4),        # window per (key, bucket); stats and summary over hot keys
+    "enrich_found_ids": (1, 2),        # partial distinct of ids, semi join
+    "upsert_single_key": (1, 3),       # distinct batch keys, anti join
+    "load_ledger": (1, 1),
 }
 
 
