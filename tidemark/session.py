@@ -63,5 +63,8 @@ def state_dir(spark: SparkSession) -> str:
         )
     scratch = tempfile.mkdtemp(prefix="tidemark-state-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(scratch)
-    spark.conf.set("spark.checkpoint.dir", scratch)
-    return scratch
+    try:  # some versions refuse core configs at run time; the context has it anyway
+        spark.conf.set("spark.checkpoint.dir", scratch)
+    except Exception:  # noqa: BLE001
+        pass
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
