@@ -56,10 +56,13 @@ def test_oracle_matches_smallest_scale(spark):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     bad = []
     for name, fn in E.queries().items():
-        s = fn(spark, SF).toPandas()
+        df = fn(spark, SF)
+        s = df.toPandas()
         o = con.execute(E.oracle_sql()[name]).df()
         if len(s) != len(o) or sorted(s.columns) != sorted(o.columns) or chk.digest(s) != chk.digest(o):
             bad.append(name)
+        elif chk.arrow_types(df.toArrow()) != chk.arrow_types(con.execute(E.oracle_sql()[name]).to_arrow_table()):
+            bad.append(f"{name} (types)")
     assert bad == []
 
 
