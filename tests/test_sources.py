@@ -195,3 +195,9 @@ def test_raw_catalog(spark):
     assert len(out) == 33 + 32
     genres = [r for r in out if r.table_name == "movie_changes" and r.column_name == "genres"][0]
     assert genres.data_type == "string" and "genres" in genres.description and genres.non_null == 0
+
+
+def test_keep_as_json(spark):
+    df = spark.createDataFrame([(1, [(28, "Action")])], "id int, genres array<struct<id:int, name:string>>")
+    out = rawload.keep_as_json(df, ["genres"]).first()
+    assert json.loads(out.genres) == [{"id": 28, "name": "Action"}] and out.id == 1
