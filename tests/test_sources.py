@@ -201,3 +201,9 @@ def test_keep_as_json(spark):
     df = spark.createDataFrame([(1, [(28, "Action")])], "id int, genres array<struct<id:int, name:string>>")
     out = rawload.keep_as_json(df, ["genres"]).first()
     assert json.loads(out.genres) == [{"id": 28, "name": "Action"}] and out.id == 1
+
+
+def test_routing_null_entity_raises(spark):
+    df = spark.createDataFrame([(1, None)], "id int, _entity_type string")
+    with pytest.raises(Exception, match="not supported: NULL"):
+        routing.route(df).collect()
