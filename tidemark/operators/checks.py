@@ -46,7 +46,7 @@ def constraint_report(df: DataFrame, table_name: str, not_null: list[str] = (),
         keyed = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
         totals = groups.agg(
             F.count_if(keyed & (F.col("_n") > 1)).alias("dup"),
-            *[F.sum(f"_z{i}").alias(f"n{i}") for i in range(len(carry))])
+            *[F.coalesce(F.sum(f"_z{i}"), F.lit(0)).alias(f"n{i}") for i in range(len(carry))])
         rows = [("unique", ",".join(cols), "dup")] + [("not_null", c, f"n{i}") for i, c in enumerate(carry)]
         parts.append(_stack(totals, table_name, rows))
     if not_null and not unique:
