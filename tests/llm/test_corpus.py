@@ -1,0 +1,300 @@
+"""Operators 5, 6, 7, 9 and 10, and the pipeline."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidemark.llm import langid, mixing, order_minhash, pii, queries, sharding
+
+
+def check_shards(got, rows, shards):
+    want = Counter((d, len((t or "").encode()) + 8, None if t is None else zlib.crc32(t.encode())) for d, t in rows)
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == want
+    total, largest = sum(r["size"] for r in got), max(r["size"] for r in got)
+    by = defaultdict(list)
+    for r in got:
+        by[r["shard"]].append(r)
+    order = []
+    for s in sorted(by):
+        assert 0 <= s < shards
+        assert sorted(r["slot"] for r in by[s]) == list(range(len(by[s])))
+        assert abs(sum(r["size"] for r in by[s]) - total / shards) <= largest
+        order += [r["doc_id"] for r in sorted(by[s], key=lambda r: r["slot"])]
+    assert order == sorted(order, key=lambda d: (d is not None, d or 0))
+
+
+def test_shards(spark, docs, no_docs, fixture_rows, sf):
+    check_shards(sharding.byte_shards(docs, 7).collect(), [r[:2] for r in fixture_rows], 7)
+    assert sharding.byte_shards(no_docs).count() == 0
+    table = spark.read.parquet(f"{sf}/documents.parquet")
+    got = queries.op5_byte_shards(spark, sf).collect()
+    check_shards(got, [(r["doc_id"], r["text"]) for r in table.collect()], 24)
+    assert {(r["law"], r["grown_shard"]) for r in got} == {("bytes", None)}
+
+
+def test_shards_run_no_python(docs):
+    plan = sharding.byte_shards(docs)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def brute_targets(sizes, share=1.5, cap=2.0):
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}
+    out, left, budget = {}, set(names), share * sum(sizes.values())
+    while left:
+        level = (budget - sum(out.values())) / sum(weight[s] for s in left)
+        over = {s for s in left if level * weight[s] > cap * sizes[s]}
+        if not over:
+            return out | {s: level * weight[s] for s in left}
+        out |= {s: cap * sizes[s] for s in over}
+        left -= over
+    return out
+
+
+def check_mix(got, rows):
+    count = lambda t: len(re.findall("[^\x20\x09-\x0d]+", t or ""))
+    assert Counter((r["doc_id"], r["size"]) for r in got) == Counter((d, count(t)) for d, t, _ in rows)
+    sizes = defaultdict(int)
+    for _, t, s in rows:
+        sizes[s] += count(t)
+    want, taken = brute_targets(dict(sizes)), defaultdict(int)
+    for r in got:
+        assert 0 <= r["taken"] <= 2 * r["size"] and r["source_size"] == sizes[r["source"]]
+        assert r["target"] == pytest.approx(want[r["source"]])
+        taken[r["source"]] += r["taken"]
+    for s in sizes:
+        assert abs(taken[s] - want[s]) <= 10
+    assert sum(want.values()) == pytest.approx(1.5 * sum(sizes.values()))
+
+
+def test_mix(spark, docs, no_docs, fixture_rows, sf, monkeypatch):
+    rows = [(r[0], r[1], r[3]) for r in fixture_rows]
+    first = mixing.mix(docs).collect()
+    check_mix(first, rows)
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 5)
+    assert Counter(mixing.mix(docs.repartition(5)).collect()) == Counter(first)
+    assert mixing.mix(no_docs).count() == 0
+    table = spark.read.parquet(f"{sf}/documents.parquet")
+    check_mix(queries.op6_mixing(spark, sf).collect(), [(r["doc_id"], r["text"], r["source"]) for r in table.collect()])
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.dictionaries(st.integers(0, 30), st.integers(0, 1000), min_size=1, max_size=12))
+def test_targets_fill_like_water(spark, sizes):
+    df = spark.createDataFrame([(f"s{k:02d}", v) for k, v in sizes.items()], "source string, size long").coalesce(1)
+    got = {r["source"]: r["target"] for r in mixing.targets(df).collect()}
+    assert got == pytest.approx(brute_targets({f"s{k:02d}": v for k, v in sizes.items()}), abs=1e-6)
+
+
+def test_positions_invert_the_schedules(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(0, 303).select((F.col("id") % 101 / 100).alias("share"), (F.col("id") % 3).alias("turn"))
+    for r in rows.select("share", "turn", mixing.position(F.col("share"), F.col("turn")).alias("t")).collect():
+        t = np.linspace(0, r["t"], 20_001)
+        w = np.interp(t, mixing.KNOTS, mixing.SCHEDULES[r["turn"]])
+        assert np.trapezoid(w, t) == pytest.approx(r["share"], abs=1e-4)
+
+
+def test_training_order(docs, no_docs, fixture_rows):
+    got = mixing.in_training_order(docs)
+    assert got.columns == docs.columns
+    taken = mixing.mix(docs).collect()
+    times = Counter(r["doc_id"] for r in got.collect())
+    assert all(times[r["doc_id"]] <= 2 for r in taken if r["doc_id"] not in (3, None))
+    assert not times[100] and not times[101]
+    whole = [r for r in taken if r["size"] and r["taken"] == 2 * r["size"] and r["doc_id"] not in (3, None)]
+    assert whole and all(times[r["doc_id"]] == 2 for r in whole)
+    assert mixing.in_training_order(no_docs).count() == 0
+
+
+def test_language(spark, docs, no_docs, fixture_rows):
+    got = langid.identify(docs)
+    rows = got.collect()
+    assert len(rows) == len(fixture_rows) and set(docs.columns) < set(got.columns)
+    for r in rows:
+        if not r["text"] or not any(map(str.isalpha, r["text"])):
+            assert (r["lang_pred"], r["score"], r["rejected"]) == ("und", 0.0, True)
+        else:
+            assert r["lang_pred"] in ("en", "de") and 0 <= r["score"] <= 1
+    assert langid.identify(no_docs).count() == 0
+
+
+def test_language_held_out(spark):
+    rows = queries.op7_language_id(spark, "/root/testdata/sf0.01").collect()
+    table = {r["doc_id"]: r["lang"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    held = [r for r in rows if r["held_out"]]
+    assert len(rows) == len(table) and all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
+    assert sum(r["lang_pred"] == table[r["doc_id"]] for r in held) >= 0.98 * len(held) > 0
+    assert sum(r["rejected"] for r in rows) <= 0.01 * len(rows)
+
+
+def test_language_rejects_what_is_far(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(langid.learnable(table))
+    junk = spark.createDataFrame([(1, "xq zzk qqj xxv kkq jjz wqx vvk"), (2, "Ω≈ç√ ру́сский текст по-русски"), (3, "漢字漢字漢字")], "doc_id long, text string")
+    assert all(r["rejected"] for r in langid.predict(junk, model).collect())
+
+
+def brute_order_minhash(text):
+    """The same signature, from a plain list of (hash, place)."""
+    m64 = (1 << 64) - 1
+    mix = 0x9E3779B97F4A7C15
+    if not text:
+        return [0] * order_minhash.SKETCHES
+    k = min(order_minhash.K, len(text))
+    seen, pairs, grams = Counter(), [], []
+    for i in range(len(text) - k + 1):
+        g = 0
+        for c in text[i : i + k]:
+            g = (g ^ ord(c)) * mix & m64
+            g ^= g >> 29
+        p = (g + seen[g] * 0xC2B2AE3D27D4EB4F) * mix & m64
+        pairs.append(p ^ p >> 31)
+        grams.append(g)
+        seen[g] += 1
+    out = []
+    for s in range(1, order_minhash.SKETCHES + 1):
+        odd = s * 0xD6E8FEB86659FD93 & m64 | 1
+        hashed = []
+        for i, p in enumerate(pairs):
+            h = p * odd & m64
+            hashed.append((h ^ h >> 32, i))
+        x = odd
+        for i in sorted(i for _, i in sorted(hashed)[: order_minhash.TUPLE]):
+            x = (x ^ grams[i]) * mix & m64
+            x ^= x >> 32
+        out.append(x >> 32)
+    return out
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="abcé 😀", max_size=120))
+def test_fingerprint(text):
+    want = brute_order_minhash(text)
+    assert order_minhash.fingerprint(text).tolist() == want
+
+
+def test_fingerprint_in_stretches(monkeypatch):
+    text = "the quick brown fox jumps over the lazy dog and the quick cat " * 30
+    whole = order_minhash.fingerprint(text).tolist()
+    monkeypatch.setattr(order_minhash, "CELLS", order_minhash.SKETCHES * 100)
+    assert order_minhash.fingerprint(text).tolist() == whole
+
+
+def test_fingerprint_follows_order():
+    a, b = "abcdefghij klmnop " * 1 + "qrstuvwxyz 0123456789", "qrstuvwxyz 0123456789" + "abcdefghij klmnop "
+    assert order_minhash.likeness(order_minhash.fingerprint(a), order_minhash.fingerprint(b)) < 0.8
+    assert order_minhash.likeness(order_minhash.fingerprint(a), order_minhash.fingerprint(a)) == 1
+
+
+def brute_fingerprints(rows):
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    out = []
+    for i, (doc, text) in enumerate(order):
+        a, b = text or "", order[(i + 1) % len(order)][1] or ""
+        e = a[: len(a) - len(a) // 2] + b[: len(a) // 2]
+        fa, fe, fb = map(order_minhash.fingerprint, (a, e, b))
+        out.append((doc, len(a), hashlib.sha256(e.encode()).hexdigest(), fa.astype(">u4").tobytes().hex(), fe.astype(">u4").tobytes().hex(), float((fa == fe).mean()), float((fa == fb).mean())))
+    return Counter(out)
+
+
+def test_fingerprints(spark, docs, no_docs, fixture_rows, sf):
+    got = order_minhash.fingerprints(docs).collect()
+    assert Counter((r[0], r[1], hashlib.sha256(r[2].encode()).hexdigest(), *r[3:]) for r in got) == brute_fingerprints([r[:2] for r in fixture_rows])
+    assert order_minhash.fingerprints(no_docs).count() == 0
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    assert Counter(tuple(r) for r in queries.op9_order_minhash(spark, sf).collect()) == brute_fingerprints(rows)
+
+
+def plain_base(text):
+    """The base rules as plain searches."""
+    out = [("email", m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [("ip", m.start(), m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(x) <= 255 for x in m.group().split("."))]
+    digits = lambda s: [int(c) for c in s if c in "0123456789"]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = digits(m.group())
+        if 12 <= len(d) <= 19 and sum(x if i % 2 == 0 else sum(divmod(2 * x, 10)) for i, x in enumerate(reversed(d))) % 10 == 0:
+            out.append(("card", m.start(), m.end()))
+    out += [("phone", m.start(), m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 9 <= len(digits(m.group())) <= 15]
+    return sorted(out, key=lambda s: (s[1], pii.KINDS.index(s[0]), s[2]))
+
+
+PIECES = st.sampled_from(["a", "b.c", "@", "@x.de", "+1", "0", "255", "256", ".", "-", " ", "(212)", "4111111111111111", "4111 1111 1111 1111", "10.0.0.1", "é", "\n", "%", "555-0100", "00000000000000"])
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(PIECES, max_size=25).map("".join))
+def test_base_spans(text):
+    assert pii.base_spans(text) == plain_base(text)
+
+
+def test_base_spans_are_linear():
+    for text in ("a" * 200_000, "1" * 200_000, "1 " * 100_000, "+1" * 100_000, "a@" * 100_000, "1." * 100_000):
+        pii.base_spans(text)
+
+
+def test_field_finds_the_best_reading():
+    """Dynamic programming against all readings of short zones."""
+    r = np.random.default_rng(0)
+    w = r.normal(size=(len(pii.KINDS), pii.N_FEATURES)).tolist()
+    for text in ("mail a@b.de or +1 (212) 555-0100", "10.0.0.1 4111111111111111", "call 555 0100 22 33"):
+        (lo, hi), = pii.zones(text)
+        tokens, found = pii.segments(text, lo, hi)
+        scored = [(i, j, max(sum(w[k][x] for x in f) for k in range(len(w)))) for i, j, f in found]
+
+        def best(at):
+            if at == len(tokens):
+                return 0.0
+            return max([best(at + 1), *(s + best(j) for i, j, s in scored if i == at)])
+
+        assert sum(s for *_, s in pii.decode(text, w)) == pytest.approx(best(0))
+
+
+def test_spans(spark, docs, no_docs, fixture_rows):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    weights = pii.fit(table)
+    got = pii.find_spans(docs, weights).collect()
+    texts = Counter((r[0], tuple(plain_base(r[1] or ""))) for r in fixture_rows)
+    assert Counter((r["doc_id"], tuple((s["kind"], s["start"], s["end"]) for s in r["spans"] if s["base"])) for r in got) == texts
+    assert pii.find_spans(no_docs).count() == 0
+    more = [s for r in pii.find_spans(table, weights).collect() for s in r["spans"] if not s["base"]]
+    assert len(more) <= 5  # clean documents are left alone
+    rows = queries.op10_pii(spark, "/root/testdata/sf0.01").collect()
+    text = {r["doc_id"]: r["text"] for r in table.collect()}
+    for r in rows:
+        base = plain_base(text[r["doc_id"]] or "")
+        assert r["base_sha256"] == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in base).encode()).hexdigest()
+        assert r["n_email"] == sum(k == "email" for k, *_ in base)
+
+
+def test_field_recovers_held_back_spans(spark):
+    """Spans that the rules find are also found by the field alone, on documents outside its sample."""
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    weights = pii.fit(table)
+    found = total = 0
+    for r in table.collect():
+        base = {s for s in pii.base_spans(r["text"] or "")}
+        mine = {s[:3] for s in pii.decode(r["text"] or "", weights)}
+        found, total = found + len(base & mine), total + len(base)
+    assert found >= 0.95 * total > 0
+
+
+def test_pipeline(spark, sf):
+    import corpus_pipeline
+
+    docs, n = spark.read.parquet(f"{sf}/documents.parquet"), None
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, sf)
+        assert after.columns == docs.columns
+        if name != "mixing":
+            assert 0 < after.count() <= docs.count()
+        docs = after
+    pieces = corpus_pipeline.run(spark, sf).collect()
+    assert {r["doc_id"] for r in pieces} == {r["doc_id"] for r in docs.collect()}
