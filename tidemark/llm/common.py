@@ -6,6 +6,7 @@ import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.session import state_dir
 
@@ -51,3 +52,8 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """At most ``rows`` texts in an Arrow batch, so that long texts do not add up."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def broadcast_if_small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """A written table of a few numbers a row, to be broadcast if it has at most ``rows``; else joined by shuffle."""
+    return F.broadcast(df) if df.count() <= rows else df

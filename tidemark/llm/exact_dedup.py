@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import golomb
-from tidemark.llm.common import partitions, scratch_root, small_batches, written
+from tidemark.llm.common import broadcast_if_small, partitions, scratch_root, small_batches, written
 
 #: Bits of the universe beyond the logarithm of the number of rows: so a row is a false suspect once in 2^16.
 SPARE_BITS = 16
@@ -146,7 +146,7 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     short = F.shiftrightunsigned("fp", 64 - (bits[0] if bits else 1))
     # byte verification: the suspects' texts, each combined before it is shuffled
     text = normalised(F.col("text"))
-    wanted = found.select(F.col("fp").alias("short")).distinct()
+    wanted = broadcast_if_small(written(found.select(F.col("fp").alias("short")).distinct(), "wanted", root))
     suspects = docs.select(text.alias("norm")).withColumn("fp", F.xxhash64("norm")).withColumn("short", short)
     texts = suspects.join(wanted, "short", "left_semi").groupBy("norm").agg(F.count("*").alias("n"))
     checked = texts.filter("n > 1").groupBy(F.unhex(F.sha2("norm", 256)).alias("sha")).agg(F.sum("n").alias("n"), F.count("*").alias("texts"))
@@ -176,7 +176,8 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     mine = written(mine.select(F.col("doc_id").alias("_id"), F.col("sha").alias("_sha"), "n", "kept"), "mine", root)
     keyed = docs.withColumns({"_doc": F.col("doc_id").cast("long"), "_text": F.unhex(F.sha2(normalised(F.col("text")), 256))})
     same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_sha"))
-    stay = keyed.join(mine.filter("not kept or n > 1").select("_id", "_sha"), same, "left_anti").select(*docs.columns)
+    lost = broadcast_if_small(written(mine.filter("not kept or n > 1").select("_id", "_sha"), "lost", root))
+    stay = keyed.join(lost, same, "left_anti").select(*docs.columns)
     twins = mine.filter("kept and n > 1").select("_id", "_sha")
     if twins.isEmpty():
         return stay

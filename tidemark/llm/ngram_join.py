@@ -10,15 +10,17 @@ shingles their first n - ceil(t n) + 1 have one in common.
    the lowest classes are left out; that costs time, not results).
 2. Every order sorts by class first, so rare shingles lead and shared passages
    come last, and then by another hash.  A document's prefix under the first
-   order makes candidates, those under the others filter them.
+   order makes candidates, those under the others filter them.  The first
+   shingle that a pair shares lies no deeper in either set than leaves room for
+   the overlap it needs; a shared shingle that lies deeper makes no candidate.
 3. Rare prefix shingles go to owners in packed messages; a run of equal ones is
    short, and all its pairs of compatible lengths are candidates.  Documents
    with frequent prefix shingles first meet one hub a shingle (chosen by a hash
    of shingle and document): links found there join documents into components,
    and only pairs in different components that share a shingle are left as
    candidates for the second round.  So a large group is never paired up.
-4. Candidates must share a prefix shingle under each further order.
-5. What is left is verified on whole sets, streamed past their hub's set.
+4. Candidates' whole sets are streamed past their hub's set; a pair must share a
+   prefix shingle under each further order before the sets are compared.
 
 The component of a document is the least doc_id that links reach.  Equal sets
 are one node from the start.  A row without doc_id has no component; rows that
@@ -35,7 +37,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import partitions, scratch_root, small_batches, written
+from tidemark.llm.common import broadcast_if_small, partitions, scratch_root, small_batches, written
 from tidemark.llm.components import components
 
 FREQUENT, TABLE = 16, 2_000_000
@@ -88,14 +90,15 @@ class Orders:
         return np.where(self.slots[at] == slot, self.classes[at], 0).astype(np.uint64)
 
     def prefix(self, h, classes, k: int, percent: int):
-        """Places in ``h`` of the prefix under order k."""
+        """Places in ``h`` of the prefix under order k, in that order."""
         import numpy as np
 
         size = len(h) - least_overlap(len(h), percent) + 1
         x = h * np.uint64(_SEEDS[k])
         x ^= x >> np.uint64(32)
         key = (classes << np.uint64(58)) | ((x * np.uint64(_MIX)) >> np.uint64(6))
-        return np.argpartition(key, size - 1)[:size] if size < len(h) else np.arange(len(h))
+        some = np.argpartition(key, size - 1)[:size] if size < len(h) else np.arange(len(h))
+        return some[np.argsort(key[some], kind="stable")]
 
 
 def _frequent(docs: DataFrame, n: int, root: str) -> tuple:
@@ -174,7 +177,10 @@ def _frequent(docs: DataFrame, n: int, root: str) -> tuple:
 
 
 def _prefixes(docs: DataFrame, n: int, percent: int, orders) -> DataFrame:
-    """doc_id, size, two halves of the set's hash; and of the first row with a set in its task, the prefixes."""
+    """doc_id, size, two halves of the set's hash; and of the first row with a set in its task, the first prefix.
+
+    The prefix comes as two lists, the rare shingles and the frequent ones behind them.
+    """
 
     def run(batches):
         import numpy as np
@@ -182,32 +188,29 @@ def _prefixes(docs: DataFrame, n: int, percent: int, orders) -> DataFrame:
         from xxhash import xxh3_128_digest
 
         o, seen = orders.value, set()
-        longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
+        types = [pa.int64()] * 4 + [pa.list_(pa.int64())] * 2
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 h = shingles(text, n)
                 sig = xxh3_128_digest(h.tobytes())
-                s1, s2 = (int(x) for x in np.frombuffer(sig, dtype="<i8"))
-                row = [doc, len(h), s1, s2, None, None, None, None]
+                row = [doc, len(h), *(int(x) for x in np.frombuffer(sig, dtype="<i8")), None, None]
                 if len(h) and doc is not None and sig not in seen:
                     seen.add(sig)
                     c = o.classes_of(h)
                     first = o.prefix(h, c, 0, percent)
                     rare = c[first] == 0
                     row[4], row[5] = h[first[rare]].view(np.int64), h[first[~rare]].view(np.int64)
-                    row[6], row[7] = (h[o.prefix(h, c, k, percent)].astype(np.uint32).view(np.int32) for k in (1, 2))
                 rows.append(row)
-            cols = list(zip(*rows)) if rows else [[]] * 8
-            types = [pa.int64()] * 4 + [longs, longs, ints, ints]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["doc_id", "n", "s1", "s2", "rare", "often", "f1", "f2"])
+            cols = list(zip(*rows)) if rows else [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["doc_id", "n", "s1", "s2", "rare", "often"])
 
-    schema = "doc_id long, n long, s1 long, s2 long, rare array<long>, often array<long>, f1 array<int>, f2 array<int>"
+    schema = "doc_id long, n long, s1 long, s2 long, rare array<long>, often array<long>"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
 def _rare_candidates(prefixes: DataFrame, percent: int) -> DataFrame:
-    """a, b: pairs that share a rare prefix shingle; or a with b NULL and a shingle that too many share to pair."""
+    """a, b: pairs that share a rare prefix shingle; or a with its depth and a shingle that too many share to pair."""
     spark = prefixes.sparkSession
     q = max(partitions(spark) - 1, 1).bit_length()
 
@@ -218,23 +221,24 @@ def _rare_candidates(prefixes: DataFrame, percent: int) -> DataFrame:
         held, size = [], 0
 
         def flush():
-            h, doc, m = (np.concatenate([x[i] for x in held]) for i in range(3))
+            h, doc, m, at = (np.concatenate([x[i] for x in held]) for i in range(4))
             by = np.argsort(h)
-            h, doc, m = h[by], doc[by], np.minimum(m[by], 65535)
+            h, doc, m, at = h[by], doc[by], m[by], at[by]
             owner = (h >> np.uint64(64 - q)).astype(np.int64)
             ends = np.searchsorted(owner, np.arange((1 << q) + 1))
-            rest = ((h << np.uint64(q)) >> np.uint64(32)).astype("<u4")
+            rest = (h << np.uint64(q)) >> np.uint64(32)
             who = np.flatnonzero(np.diff(ends)).tolist()
-            cut = lambda x: pa.array([x[ends[o] : ends[o + 1]].tobytes() for o in who], pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(who, pa.int32()), cut(rest), cut(doc.astype("<i8")), cut(m.astype("<u2"))], names=["owner", "h", "doc", "n"])
+            cut = lambda x, t: pa.array([x[ends[o] : ends[o + 1]].astype(t).tobytes() for o in who], pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(who, pa.int32()), cut(rest, "<u4"), cut(doc, "<i8"), cut(m, "<u4"), cut(at, "<u4")], names=["owner", "h", "doc", "n", "at"])
 
         for batch in batches:
             lists = batch.column("rare")
-            if not len(lists):
-                continue
             lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            docs, ns = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "n"))
-            held.append((lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.repeat(docs, lengths).astype(np.int64), np.repeat(ns, lengths).astype(np.int64)))
+            if not lengths.sum():
+                continue
+            docs, ns = (np.repeat(batch.column(c).to_numpy(zero_copy_only=False), lengths).astype(np.int64) for c in ("doc_id", "n"))
+            at = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            held.append((lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), docs, ns, at))
             size += int(lengths.sum())
             if size >= ROUND:
                 yield flush()
@@ -246,57 +250,50 @@ def _rare_candidates(prefixes: DataFrame, percent: int) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        h, doc, m = (np.concatenate([np.frombuffer(x, dtype=t) for x in table.column(c).to_pylist()]) for c, t in (("h", "<u4"), ("doc", "<i8"), ("n", "<u2")))
+        h, doc, m, at = (np.concatenate([np.frombuffer(x, dtype=t) for x in table.column(c).to_pylist()]).astype(np.int64) for c, t in (("h", "<u4"), ("doc", "<i8"), ("n", "<u4"), ("at", "<u4")))
         by = np.lexsort((doc, h))
-        h, doc, m = h[by], doc[by], m[by].astype(np.int64)
+        h, doc, m, at = h[by], doc[by], m[by], at[by]
         start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         long = np.diff(start, append=len(h))
         many = np.repeat(long > RUN, long)
-        out = []
         few = ~many & np.repeat(long > 1, long)
-        hf, df, mf = h[few], doc[few], m[few]
+        hf, df, mf, af = h[few], doc[few], m[few], at[few]
+        out = [np.zeros((0, 2), dtype=np.int64)]
         for d in range(1, int(min(RUN, long.max(initial=1)))):
             same = hf[d:] == hf[:-d]
             if not same.any():
                 break
-            a, b, na, nb = df[:-d], df[d:], mf[:-d], mf[d:]
-            ok = same & (a != b) & (np.minimum(na, nb) * 100 >= np.where(np.maximum(na, nb) < 65535, np.maximum(na, nb) * percent, 0))
-            out.append(np.stack([a[ok], b[ok]], axis=1))
-        pairs = np.unique(np.concatenate(out), axis=0) if out and sum(map(len, out)) else np.zeros((0, 2), dtype=np.int64)
-        token = (np.int64(key[0].as_py()) << np.int64(32)) | h[many].astype(np.int64)
-        none = pa.nulls(int(many.sum()), pa.int64())
+            needed = -(-percent * (mf[:-d] + mf[d:]) // (100 + percent))
+            ok = same & (df[:-d] != df[d:]) & (af[:-d] <= mf[:-d] - needed) & (af[d:] <= mf[d:] - needed)
+            out.append(np.stack([df[:-d][ok], df[d:][ok]], axis=1))
+        pairs = np.unique(np.concatenate(out), axis=0)
+        none = lambda k: pa.nulls(k, pa.int64())
+        k = int(many.sum())
         return pa.table({
             "a": pa.array(np.concatenate([pairs[:, 0], doc[many]])),
-            "b": pa.concat_arrays([pa.array(pairs[:, 1]), none]),
-            "token": pa.concat_arrays([pa.nulls(len(pairs), pa.int64()), pa.array(token)]),
+            "b": pa.concat_arrays([pa.array(pairs[:, 1]), none(k)]),
+            "token": pa.concat_arrays([none(len(pairs)), pa.array((np.int64(key[0].as_py()) << np.int64(32)) | h[many])]),
+            "at": pa.concat_arrays([none(len(pairs)), pa.array(at[many])]),
+            "n": pa.concat_arrays([none(len(pairs)), pa.array(m[many])]),
         })
 
-    sent = prefixes.select("doc_id", "n", "rare").filter("rare is not null").mapInArrow(send, "owner int, h binary, doc binary, n binary")
-    return sent.groupBy("owner").applyInArrow(pair, "a long, b long, token long")
-
+    sent = prefixes.select("doc_id", "n", "rare").mapInArrow(send, "owner int, h binary, doc binary, n binary, at binary")
+    return sent.groupBy("owner").applyInArrow(pair, "a long, b long, token long, at long, n long")
 
-def _similar_sizes(percent: int, a: str = "na", b: str = "nb"):
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
+def _has_room(percent: int):
+    """Whether a shingle that lies at (ata, atb) may be the first that similar sets of sizes (na, nb) share."""
+    needed = F.expr(f"({percent} * (na + nb) + {99 + percent}) div {100 + percent}")
+    return (F.col("ata") <= F.col("na") - needed) & (F.col("atb") <= F.col("nb") - needed)
 
-def _filtered(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """Pairs (a, b) that also share a prefix shingle under every further order."""
-    f = prefixes.filter("f1 is not null").select("doc_id", "f1", "f2")
-    who = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    f = f.join(who, "doc_id", "left_semi")
-    fa, fb = (f.select(F.col("doc_id").alias(x), F.col("f1").alias(f"{x}1"), F.col("f2").alias(f"{x}2")) for x in "ab")
-    both = pairs.join(fa, "a").join(fb, "b")
-    return both.filter(F.arrays_overlap("a1", "b1") & F.arrays_overlap("a2", "b2")).select("a", "b").distinct()
 
-
-def _verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int, root: str, name: str) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
+def _verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int, orders, root: str, name: str) -> DataFrame:
+    """Of the candidates (a, b), a written table, those that pass the further orders' filters and whose whole sets are similar enough."""
     spark = docs.sparkSession
-    pairs = written(pairs, f"{name}-pairs", root)
     counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).alias("groups"))
     pairs = pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("groups")).alias("g"))
     wanted = pairs.select("a", "g", F.col("b").alias("doc"), F.lit(True).alias("member"))
-    wanted = wanted.union(pairs.select("a", "g", F.col("a").alias("doc"), F.lit(False)).distinct())
+    wanted = written(wanted.union(pairs.select("a", "g", F.col("a").alias("doc"), F.lit(False)).distinct()), f"{name}-wanted", root)
     ids = written(wanted.select(F.col("doc").alias("doc_id")).distinct(), f"{name}-ids", root)
 
     def sets(batches):
@@ -310,30 +307,36 @@ def _verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int, root: str
         import numpy as np
         import pyarrow as pa
 
+        o = orders.value
+
+        def with_prefixes(h):
+            c = o.classes_of(h)
+            return h, [h[o.prefix(h, c, k, percent)] for k in range(1, ORDERS)]
+
+        def shared(x, y):
+            both = np.concatenate([x, y])
+            both.sort()
+            return int((both[1:] == both[:-1]).sum())
+
         hub, own = None, []
         for batch in batches:
             out = []
             for a, g, doc, member, raw in zip(*(batch.column(c).to_pylist() for c in ("a", "g", "doc", "member", "h"))):
                 if hub != (a, g):
                     hub, own = (a, g), []
-                h = np.frombuffer(raw, dtype=np.uint64)
+                x, firsts = with_prefixes(np.frombuffer(raw, dtype=np.uint64))
                 if not member:
-                    own.append(h)
+                    own.append((x, firsts))
                     continue
-                for x in own:
-                    if min(len(x), len(h)) * 100 < max(len(x), len(h)) * percent:
-                        continue
-                    both = np.concatenate([x, h])
-                    both.sort()
-                    shared = int((both[1:] == both[:-1]).sum())
-                    if shared * 100 >= percent * (len(both) - shared):
+                for y, others in own:
+                    if all(shared(p, q) for p, q in zip(firsts, others)) and (m := shared(x, y)) * 100 >= percent * (len(x) + len(y) - m):
                         out.append((a, doc))
                         break
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
 
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
-    have = given.mapInArrow(sets, "doc long, h binary")
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(broadcast_if_small(ids), "doc_id", "left_semi")
+    have = given.mapInArrow(sets, "doc long, h binary").filter("octet_length(h) > 0")
     stream = wanted.join(have, "doc").select("a", "g", "doc", "member", "h")
     stream = stream.repartition(partitions(spark), "a", "g").sortWithinPartitions("a", "g", "member")
     return written(stream.mapInArrow(verify, "a long, b long").distinct(), f"{name}-links", root)
@@ -346,36 +349,40 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     root = scratch_root(spark)
     orders = spark.sparkContext.broadcast(Orders(*_frequent(docs, n, root)))  # TABLE entries of 9 bytes at most
     prefixes = written(_prefixes(docs, n, percent, orders), "prefixes", root)
-    nodes = prefixes.filter("n > 0 and doc_id is not null")
+    nodes = prefixes.filter("n > 0 and doc_id is not null").select("doc_id", "n", "s1", "s2")
     twins = nodes.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
-    twins = written(nodes.select("doc_id", "n", "s1", "s2").join(twins, ["n", "s1", "s2"]).select("doc_id", "rep", "n").distinct(), "twins", root)
-    alike = twins.filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-
-    rare = written(_rare_candidates(prefixes, percent), "rare", root)
-    carriers = prefixes.filter("often is not null")
-    one = carriers.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    firsts = carriers.join(one, "doc_id", "left_semi")
-    crowd = rare.filter("token is not null").select("token", F.col("a").alias("doc")).join(nodes.select(F.col("doc_id").alias("doc"), "n").distinct(), "doc").select("token", "doc", "n")
-    often = firsts.select(F.explode("often").alias("token"), F.col("doc_id").alias("doc"), "n").union(crowd)
-    often = written(often.distinct(), "often", root)
-    hubs = often.groupBy("token").agg(F.min(F.struct(F.xxhash64("token", "doc").alias("h"), "doc", "n")).alias("hub"), F.count("*").alias("m"))
-    hubs = hubs.filter("m > 1").select("token", F.col("hub.doc").alias("hub"), F.col("hub.n").alias("nb"))
-    stars = often.join(hubs, "token").filter("doc <> hub").withColumn("na", F.col("n")).filter(_similar_sizes(percent))
+    alike = nodes.join(twins, ["n", "s1", "s2"]).filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    alike = written(alike.distinct(), "alike", root)
+    # of a set that several tasks met, one row goes on
+    met = prefixes.filter("rare is not null").select("doc_id", "n", "s1", "s2")
+    one = met.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("one"), F.count("*").alias("m")).filter("m > 1")
+    spare = written(met.join(one, ["n", "s1", "s2"]).filter("doc_id <> one").select("doc_id").distinct(), "spare", root)
+    carriers = prefixes.filter("rare is not null").join(broadcast_if_small(spare), "doc_id", "left_anti")
+
+    rare = written(_rare_candidates(carriers, percent), "rare", root)
+    crowd = rare.filter("token is not null").select("token", F.col("a").alias("doc"), "n", "at")
+    often = carriers.select("doc_id", "n", F.size("rare").alias("before"), F.posexplode("often").alias("i", "token"))
+    often = often.select("token", F.col("doc_id").alias("doc"), "n", (F.col("before") + F.col("i")).cast("long").alias("at")).union(crowd)
+    often = written(often, "often", root)
+    # the hub of a shingle is a document that has it early, so one with few shingles of its own
+    hubs = often.groupBy("token").agg(F.min(F.struct("at", F.xxhash64("token", "doc").alias("h"), "doc", "n")).alias("hub"), F.count("*").alias("m"))
+    hubs = hubs.filter("m > 1").select("token", F.col("hub.doc").alias("hub"), F.col("hub.n").alias("nb"), F.col("hub.at").alias("atb"))
+    stars = often.withColumnsRenamed({"n": "na", "at": "ata"}).join(hubs, "token").filter("doc <> hub").filter(_has_room(percent))
     stars = stars.select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b"))
-    tried = _filtered(rare.filter("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(stars).distinct(), prefixes)
+    tried = rare.filter("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(stars).distinct()
     tried = written(tried, "tried", root)
-    links = _verified(tried, docs, n, percent, root, "first")
+    links = _verified(tried, docs, n, percent, orders, root, "first")
     joined = written(components(links.union(alike)), "joined", root)
 
     # second round: pairs that share a frequent shingle and are not joined yet
     names = joined.select(F.col("node").alias("doc"), "component")
-    labelled = written(often.join(names, "doc", "left").select("token", "doc", "n", F.coalesce("component", "doc").alias("label")), "labelled", root)
+    labelled = written(often.join(names, "doc", "left").select("token", "doc", "n", "at", F.coalesce("component", "doc").alias("label")), "labelled", root)
     mixed = labelled.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token")
     open_ = written(labelled.join(mixed, "token", "left_semi"), "open", root)
-    x, y = (open_.select("token", F.col("doc").alias(d), F.col("n").alias(f"n{d}"), F.col("label").alias(f"l{d}")) for d in "ab")
-    rest = x.join(y, "token").filter(F.col("la") != F.col("lb")).filter("a < b").filter(_similar_sizes(percent)).select("a", "b").distinct()
-    rest = _filtered(rest.join(tried, ["a", "b"], "left_anti"), prefixes)
-    more = _verified(rest, docs, n, percent, root, "second")
+    x, y = (open_.select("token", F.col("doc").alias(d), F.col("n").alias(f"n{d}"), F.col("at").alias(f"at{d}"), F.col("label").alias(f"l{d}")) for d in "ab")
+    there = (x.token == y.token) & (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _has_room(percent)
+    rest = x.join(y, there).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+    more = _verified(written(rest, "rest", root), docs, n, percent, orders, root, "second")
     whole = joined if more.isEmpty() else written(components(more.union(joined.select(F.col("node").alias("a"), F.col("component").alias("b")))), "whole", root)
     out = prefixes.select("doc_id", F.col("n").alias("n_shingles")).join(whole, F.col("doc_id") == F.col("node"), "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
@@ -384,5 +391,5 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
 def drop_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the document with the least doc_id."""
     found = near_duplicates(docs, n, percent).filter("component_id <> doc_id").select(F.col("doc_id").alias("_id")).distinct()
-    found = written(found, "dropped")
+    found = broadcast_if_small(written(found, "dropped"))
     return docs.join(found, F.col("doc_id").cast("long") == F.col("_id"), "left_anti")
