@@ -19,8 +19,9 @@ shingles their first n - ceil(t n) + 1 have one in common.
    of shingle and document): links found there join documents into components,
    and only pairs in different components that share a shingle are left as
    candidates for the second round.  So a large group is never paired up.
-4. Candidates' whole sets are streamed past their hub's set; a pair must share a
-   prefix shingle under each further order before the sets are compared.
+4. Candidates' prefixes under the further orders are streamed past their hub's;
+   a pair must share a prefix shingle under each.
+5. What is left is verified on whole sets, streamed in the same way.
 
 The component of a document is the least doc_id that links reach.  Equal sets
 are one node from the start.  A row without doc_id has no component; rows that
@@ -287,8 +288,12 @@ def _has_room(percent: int):
     return (F.col("ata") <= F.col("na") - needed) & (F.col("atb") <= F.col("nb") - needed)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int, orders, root: str, name: str) -> DataFrame:
-    """Of the candidates (a, b), a written table, those that pass the further orders' filters and whose whole sets are similar enough."""
+def _checked(pairs: DataFrame, docs: DataFrame, make, alike, root: str, name: str) -> DataFrame:
+    """The pairs (a, b), a written table, for which ``alike(make(text of a), make(text of b))`` holds.
+
+    Only what ``make`` gives (bytes) of the documents in pairs is shuffled, and
+    a hub's members stream past it, in groups of about MEMBERS.
+    """
     spark = docs.sparkSession
     counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).alias("groups"))
     pairs = pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("groups")).alias("g"))
@@ -296,50 +301,61 @@ def _verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int, orders, r
     wanted = written(wanted.union(pairs.select("a", "g", F.col("a").alias("doc"), F.lit(False)).distinct()), f"{name}-wanted", root)
     ids = written(wanted.select(F.col("doc").alias("doc_id")).distinct(), f"{name}-ids", root)
 
-    def sets(batches):
+    def made(batches):
         import pyarrow as pa
 
         for batch in batches:
-            found = [shingles(t, n).tobytes() for t in batch.column("text").to_pylist()]
+            found = [make(t) if t else b"" for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.binary())], names=["doc", "h"])
 
-    def verify(batches):
-        import numpy as np
+    def check(batches):
         import pyarrow as pa
 
-        o = orders.value
-
-        def with_prefixes(h):
-            c = o.classes_of(h)
-            return h, [h[o.prefix(h, c, k, percent)] for k in range(1, ORDERS)]
-
-        def shared(x, y):
-            both = np.concatenate([x, y])
-            both.sort()
-            return int((both[1:] == both[:-1]).sum())
-
         hub, own = None, []
         for batch in batches:
             out = []
-            for a, g, doc, member, raw in zip(*(batch.column(c).to_pylist() for c in ("a", "g", "doc", "member", "h"))):
+            for a, g, doc, member, h in zip(*(batch.column(c).to_pylist() for c in ("a", "g", "doc", "member", "h"))):
                 if hub != (a, g):
                     hub, own = (a, g), []
-                x, firsts = with_prefixes(np.frombuffer(raw, dtype=np.uint64))
                 if not member:
-                    own.append((x, firsts))
-                    continue
-                for y, others in own:
-                    if all(shared(p, q) for p, q in zip(firsts, others)) and (m := shared(x, y)) * 100 >= percent * (len(x) + len(y) - m):
-                        out.append((a, doc))
-                        break
+                    own.append(h)
+                elif any(alike(x, h) for x in own):
+                    out.append((a, doc))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
 
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(broadcast_if_small(ids), "doc_id", "left_semi")
-    have = given.mapInArrow(sets, "doc long, h binary").filter("octet_length(h) > 0")
+    have = given.mapInArrow(made, "doc long, h binary").filter("octet_length(h) > 0")
     stream = wanted.join(have, "doc").select("a", "g", "doc", "member", "h")
     stream = stream.repartition(partitions(spark), "a", "g").sortWithinPartitions("a", "g", "member")
-    return written(stream.mapInArrow(verify, "a long, b long").distinct(), f"{name}-links", root)
+    return written(stream.mapInArrow(check, "a long, b long").distinct(), f"{name}-kept", root)
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int, orders, root: str, name: str) -> DataFrame:
+    """Of the candidates (a, b), those that pass the further orders' filters and whose whole sets are similar enough."""
+    import numpy as np
+
+    def shared(x, y):
+        both = np.concatenate([x, y])
+        both.sort()
+        return int((both[1:] == both[:-1]).sum())
+
+    def prefixes(text):  # of 32 bits each: equal ones may be unequal shingles, never the other way round
+        h = shingles(text, n)
+        c = orders.value.classes_of(h)
+        return b"".join(h[orders.value.prefix(h, c, k, percent)].astype("<u4").tobytes() for k in range(1, ORDERS)) if len(h) else b""
+
+    def filtered(x, y):
+        x, y = (np.frombuffer(b, dtype="<u4").reshape(ORDERS - 1, -1) for b in (x, y))
+        return all(shared(np.unique(p), np.unique(q)) for p, q in zip(x, y))
+
+    def similar(x, y):
+        x, y = (np.frombuffer(b, dtype="<u8") for b in (x, y))
+        m = shared(x, y)
+        return m * 100 >= percent * (len(x) + len(y) - m)
+
+    left = _checked(pairs, docs, prefixes, filtered, root, f"{name}-filter")
+    return _checked(left, docs, lambda text: shingles(text, n).tobytes(), similar, root, f"{name}-verify")
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -382,7 +398,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     x, y = (open_.select("token", F.col("doc").alias(d), F.col("n").alias(f"n{d}"), F.col("at").alias(f"at{d}"), F.col("label").alias(f"l{d}")) for d in "ab")
     there = (x.token == y.token) & (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _has_room(percent)
     rest = x.join(y, there).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    more = _verified(written(rest, "rest", root), docs, n, percent, orders, root, "second")
+    rest = written(rest, "rest", root)
+    more = rest if rest.isEmpty() else _verified(rest, docs, n, percent, orders, root, "second")
     whole = joined if more.isEmpty() else written(components(more.union(joined.select(F.col("node").alias("a"), F.col("component").alias("b")))), "whole", root)
     out = prefixes.select("doc_id", F.col("n").alias("n_shingles")).join(whole, F.col("doc_id") == F.col("node"), "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
