@@ -18,14 +18,14 @@ NOT_FOUND_TEXT = "Not found"
 
 def usable_details(details: DataFrame, status: str = "status", body: str | None = None) -> DataFrame:
     """Found details only.  404, or a ``body`` equal to the not-found text,
-    is skipped; any status other than 200 and 404 raises."""
+    is skipped; any status other than 200 and 404 raises, a missing one too."""
     st = F.col(status)
     found = st == FOUND
     if body is not None:
         found = found & ~F.coalesce(F.col(body) == F.lit(NOT_FOUND_TEXT), F.lit(False))
     keep = F.when(
-        ~st.isin(FOUND, NOT_FOUND),
-        F.raise_error(F.concat(F.lit("detail request failed with status "), st.cast("string"))),
+        st.isNull() | ~st.isin(FOUND, NOT_FOUND),
+        F.raise_error(F.concat(F.lit("detail request failed with status "), F.coalesce(st.cast("string"), F.lit("NULL")))),
     ).otherwise(found)
     out = details.filter(keep).drop(status)
     return out.drop(body) if body is not None else out
