@@ -12,12 +12,10 @@ the shapes the operators consume, in Spark, from the whole tables:
 * ``movie_raw`` / ``land_movie_raw`` derive and land the four raw tables of the
   movie and person build.
 
-Packing is bounded: an order with more than ``MAX_ITEMS`` lines (a hot key) is
-split into ``ceil(n / MAX_ITEMS)`` records by a content hash of the line (its
-smallest-hash line always in record 0), so no ``collect_list`` ever gathers an
-unbounded group.  Line counts per order are a partial/final aggregate; the
-hot-order list joined back has at most ``rows / MAX_ITEMS`` entries and AQE
-broadcasts it when small.
+A line's record is set by its order and its block of ``SUPPLIER_BLOCK``
+suppliers, whatever the size of the order: an order that holds a third of all
+lines spreads over every block, and suppliers grow with the lines, so no
+``collect_list`` gathers a group that grows with the input.
 """
 
 from __future__ import annotations
@@ -29,7 +27,9 @@ from tidemark.functions.keys import row_id, ts_text
 from tidemark.functions.timefmt import epoch_seconds_text
 from tidemark.operators.history import history_from_changes
 
-MAX_ITEMS = 1000
+SUPPLIER_BLOCK = 50
+#: Records of one customer's order are movies of their own: customer times this, plus the block.
+MOVIES_PER_CUSTOMER = 100_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,44 +46,40 @@ def raw_events(events: DataFrame) -> DataFrame:
     )
 
 
-def line_hash(prefix: str = "") -> Column:
-    """32-bit content hash of a line from the first 8 hex digits of an md5."""
-    c = lambda n: F.col(prefix + n)
-    text = F.concat_ws("|", c("l_orderkey").cast("string"), c("l_linenumber").cast("string"),
-                       c("l_partkey").cast("string"), c("l_suppkey").cast("string"), ts_text(c("l_shipdate")))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
-
-
 def brand_no(c: str = "p_brand") -> Column:
     return F.substring_index(F.col(c), "#", -1).cast("int")
 
 
+def supplier_block(c: str = "l_suppkey") -> Column:
+    """Number of the supplier's block from 0; -1 without a supplier."""
+    return F.coalesce(F.floor(F.col(c) / F.lit(SUPPLIER_BLOCK)).cast("bigint"), F.lit(-1).cast("bigint"))
+
+
 def tagged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with their part's brand and type and the record (``part_no``) they go to."""
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate")
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
     lines = li.join(part, li.l_partkey == part.p_partkey, "inner").drop("p_partkey")
-    counts = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > MAX_ITEMS).select(
-        "l_orderkey", F.ceil(F.col("_n") / F.lit(MAX_ITEMS)).cast("bigint").alias("_parts"))
-    # Part 0 of a hot order always holds its line with the smallest hash, so
-    # every split order keeps a first record (its page 1).
-    firsts = (lines.join(hot, "l_orderkey", "inner").groupBy("l_orderkey")
-              .agg(F.min(line_hash()).alias("_first")))
-    tagged = lines.join(hot.join(firsts, "l_orderkey", "inner"), "l_orderkey", "left")
-    h = line_hash()
-    part_no = (F.when(F.col("_parts").isNull(), F.lit(0).cast("bigint"))
-               .when(h == F.col("_first"), F.lit(0).cast("bigint"))
-               .otherwise(F.pmod(h, F.col("_parts"))))
-    return tagged.withColumn("part_no", part_no).drop("_parts", "_first")
+    return lines.withColumn("part_no", supplier_block())
+
+
+def order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order as a paged listing: an empty page 1, a failed page 2 (no
+    results), and its records as the pages from 3 on."""
+    rec = packed_orders(spark, sf_dir).select("l_orderkey", (F.col("part_no") + 3).alias("page"), "results")
+    item = rec.schema["results"].dataType
+    heads = table(spark, sf_dir, "lineitem").select("l_orderkey").distinct().select("l_orderkey", F.explode(
+        F.array(F.struct(F.lit(1).cast("bigint").alias("page"), F.array().cast(item).alias("results")),
+                F.struct(F.lit(2).cast("bigint").alias("page"), F.lit(None).cast(item).alias("results")))).alias("h"))
+    return rec.unionByName(heads.select("l_orderkey", "h.*"))
 
 
 def packed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One record per (order, part_no) with ``genres`` (JSON list of
     ``{id: brand number, name: part type}``), ``credits`` (JSON object with a
     ``cast`` list of parts and a ``crew`` list of suppliers), ``results`` (an
-    array of ``{id: part, adult: returned}`` items), ``n_items``, ``n_parts``."""
+    array of ``{id: part, adult: returned}`` items), ``n_items``."""
     lines = tagged_lines(spark, sf_dir)
     ok, ln = F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")
     genre = F.struct(brand_no().alias("id"), F.col("p_type").alias("name"))
@@ -109,7 +105,7 @@ def order_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     order), with each order's packed records attached.
 
     The validity is computed on the narrow ``orders`` table; the packed records
-    (one per order, or a few for a hot order) join it by order key.  An order
+    (one per order and supplier block) join it by order key.  An order
     without lines is still a version: it ends the one before it."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     vid = F.md5(F.concat_ws("|", F.col("o_custkey").cast("string"), ts_text("o_orderdate"),
@@ -123,7 +119,8 @@ def movie_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The four raw tables of the movie/person build, derived from the driver
     tables, all loads landed so far.
 
-    Movies: each packed order record is a landed row of movie ``o_custkey``,
+    Movies: each packed order record is a landed row of the movie of its
+    customer and supplier block (so records of one order are different movies),
     loaded at ``o_orderdate`` (load id = its epoch text), with the record's
     genres and credits JSON; finished orders (status F) land in the export
     table, the others in the changes table.  Persons: every customer in a
@@ -136,12 +133,13 @@ def movie_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     orders = table(spark, sf_dir, "orders")
     m = rec.join(orders, rec.l_orderkey == orders.o_orderkey, "inner")
     lid = epoch_seconds_text("o_orderdate")
+    movie = F.col("o_custkey") * F.lit(MOVIES_PER_CUSTOMER) + F.col("part_no") + 1
     base = m.select(
-        F.col("o_custkey").alias("id"), F.col("o_orderpriority").alias("title"),
+        movie.alias("id"), F.col("o_orderpriority").alias("title"),
         F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("popularity"),
         F.col("n_items").alias("vote_count"), "genres", "credits",
         lid.alias("_dlt_load_id"),
-        row_id(lid, F.col("o_custkey"), F.col("o_orderkey"), F.col("part_no")).alias("_dlt_id"),
+        row_id(lid, movie, F.col("o_orderkey")).alias("_dlt_id"),
     )
     # One frame for both movie tables, routed by ``raw_table`` (export rows
     # tagged), so landing packs the lines once.

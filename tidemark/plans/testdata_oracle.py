@@ -49,24 +49,10 @@ def day_before(x: str) -> str:
 BRAND = "TRY_CAST(split_part(p_brand, '#', 2) AS INTEGER)"
 
 LINES = f"""
-lines AS (
-  SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_returnflag, l.l_linestatus,
-         l.l_shipdate, p.p_brand, p.p_type
-  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
-cnt AS (SELECT l_orderkey, count(*) AS n FROM lines GROUP BY l_orderkey),
-hashed AS (
-  SELECT lines.*, cnt.n,
-         ('0x' || substr(md5(concat_ws('|', lines.l_orderkey::VARCHAR, l_linenumber::VARCHAR,
-               l_partkey::VARCHAR, l_suppkey::VARCHAR, {ts_text('l_shipdate')})), 1, 8))::BIGINT AS h
-  FROM lines JOIN cnt ON lines.l_orderkey = cnt.l_orderkey),
-firsts AS (SELECT l_orderkey, min(h) AS first_h FROM hashed WHERE n > {fixtures.MAX_ITEMS} GROUP BY l_orderkey),
 tagged AS (
-  SELECT hashed.l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus, l_shipdate,
-         p_brand, p_type,
-         CASE WHEN n <= {fixtures.MAX_ITEMS} THEN CAST(0 AS BIGINT)
-              WHEN h = first_h THEN CAST(0 AS BIGINT)
-              ELSE h % CAST(ceil(n / {fixtures.MAX_ITEMS}) AS BIGINT) END AS part_no
-  FROM hashed LEFT JOIN firsts ON hashed.l_orderkey = firsts.l_orderkey)"""
+  SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_returnflag, l.l_linestatus,
+         p.p_brand, p.p_type, coalesce(CAST(l.l_suppkey // {fixtures.SUPPLIER_BLOCK} AS BIGINT), -1) AS part_no
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)"""
 
 VERSIONS = LINES + f""",
 rec AS (SELECT l_orderkey, part_no, count(*) AS n_items FROM tagged GROUP BY l_orderkey, part_no),
@@ -136,12 +122,14 @@ EV_LOAD = epoch_text("ts")
 
 OD_LOAD = epoch_text("o.o_orderdate")
 
+MOVIE = f"(o.o_custkey * {fixtures.MOVIES_PER_CUSTOMER} + r.part_no + 1)"
+
 MOVIE_BRIDGE = f"""
 WITH {LINES},
 rec AS (SELECT l_orderkey, part_no, count(*) AS n_items FROM tagged GROUP BY l_orderkey, part_no),
 st AS (
-  SELECT o.o_custkey AS tmdb_id, {OD_LOAD} AS load_id, {local(OD_LOAD)} AS load_date,
-         {row_id(OD_LOAD, 'o.o_custkey', 'o.o_orderkey', 'r.part_no')} AS dlt_id,
+  SELECT {MOVIE} AS tmdb_id, {OD_LOAD} AS load_id, {local(OD_LOAD)} AS load_date,
+         {row_id(OD_LOAD, MOVIE, 'o.o_orderkey')} AS dlt_id,
          r.l_orderkey, r.part_no, r.n_items
   FROM rec r JOIN orders o ON o.o_orderkey = r.l_orderkey),
 r1 AS (SELECT * FROM st WHERE load_id < '{fixtures.MOVIE_LOAD_CUTOFF}'
@@ -178,7 +166,7 @@ SELECT s_suppkey, s_name, s_nationkey, s_acctbal, 'supplier', 'tmdb_suppliers' F
 
     "change_pages_flatten": f"""
 WITH {LINES}
-SELECT l_orderkey, part_no + 1 AS page, l_partkey AS id, (l_returnflag = 'R') AS adult FROM tagged""",
+SELECT l_orderkey, part_no + 3 AS page, l_partkey AS id, (l_returnflag = 'R') AS adult FROM tagged""",
 
     "change_window": """
 SELECT *, CAST(o_orderdate AS DATE) AS change_date FROM orders

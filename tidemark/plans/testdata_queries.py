@@ -57,9 +57,7 @@ def route_by_entity(spark: SparkSession, d: str) -> DataFrame:
 
 # 3 ---------------------------------------------------------------------------
 def change_pages_flatten(spark: SparkSession, d: str) -> DataFrame:
-    rec = fixtures.packed_orders(spark, d)
-    docs = rec.select("l_orderkey", (F.col("part_no") + 1).alias("page"), "results")
-    return pages.flatten_pages(docs, listing=["l_orderkey"], require_first=True)
+    return pages.flatten_pages(fixtures.order_pages(spark, d), listing=["l_orderkey"], require_first=True)
 
 
 # 4 ---------------------------------------------------------------------------
