@@ -119,7 +119,8 @@ def fit(learn: DataFrame) -> dict:
     sizes = learn.groupBy("lang").count()
     # the smallest hashes: a threshold that SAMPLE documents a language pass on average, then the bound itself
     h = F.shiftrightunsigned(F.xxhash64("doc_id"), 1).cast("double") / F.lit(2.0**63)
-    some = learn.join(sizes, "lang").filter(h * F.col("count") < SAMPLE).select("lang", "text", h.alias("h"))
+    # one row a language is broadcast (the model, which is collected, has more), so texts outside the sample are never shuffled
+    some = learn.join(F.broadcast(sizes), "lang").filter(h * F.col("count") < SAMPLE).select("lang", "text", h.alias("h"))
 
     def cluster(key, table):
         import pyarrow as pa
