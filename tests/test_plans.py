@@ -45,7 +45,9 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    """Only the optional queries, which SQL cannot all express, may lack one."""
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(E.queries()) - set(E.oracle_sql()) <= set(E.LLM_QUERIES)
 
 
 def test_oracle_matches_smallest_scale(spark):
@@ -55,8 +57,8 @@ def test_oracle_matches_smallest_scale(spark):
     for t in chk.TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     bad = []
-    for name, fn in E.queries().items():
-        df = fn(spark, SF)
+    for name in E.oracle_sql():
+        df = E.queries()[name](spark, SF)
         s = df.toPandas()
         o = con.execute(E.oracle_sql()[name]).df()
         if len(s) != len(o) or sorted(s.columns) != sorted(o.columns) or chk.digest(s) != chk.digest(o):
