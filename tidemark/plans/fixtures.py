@@ -123,9 +123,9 @@ def movie_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     customer and supplier block (so records of one order are different movies),
     loaded at ``o_orderdate`` (load id = its epoch text), with the record's
     genres and credits JSON; finished orders (status F) land in the export
-    table, the others in the changes table.  Persons: every customer in a
-    first load, then the customers of nation 3 again in a second load with a
-    new popularity."""
+    table, the others in the changes table.  Persons: every customer in the
+    export table's load, then the customers of nation 3 again in a load of the
+    changes table with a new popularity."""
     from tidemark.sources.rawload import apply_schema
     from tidemark.sources.schemas import MOVIE_CHANGES, PERSON_CHANGES, TMDB_MOVIES, TMDB_PERSONS
 
@@ -156,11 +156,11 @@ def movie_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
           .select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
                   (F.col("c_acctbal") + F.lit(1.0)).alias("popularity"),
                   F.lit(PERSON_LOAD_2).alias("_dlt_load_id"), F.lit("person").alias("_entity_type")))
-    persons = p1.unionByName(p2).withColumn("_dlt_id", row_id(F.col("_dlt_load_id"), F.col("id")))
+    stamped = lambda p: p.withColumn("_dlt_id", row_id(F.col("_dlt_load_id"), F.col("id")))
     return {
         "movies": movies,
-        "tmdb_persons": apply_schema(persons, TMDB_PERSONS, keep_extra=False),
-        "person_changes": apply_schema(persons.limit(0), PERSON_CHANGES, keep_extra=False),
+        "tmdb_persons": apply_schema(stamped(p1), TMDB_PERSONS, keep_extra=False),
+        "person_changes": apply_schema(stamped(p2), PERSON_CHANGES, keep_extra=False),
     }
 
 
