@@ -57,3 +57,20 @@ def test_ingest_changes(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(f"{raw}/ids_movies_changes").collect()) == [1, 2]
     ch = spark.read.parquet(f"{raw}/movie_changes")
     assert sorted(r.id for r in ch.collect()) == [1, 2] and "_entity_type" not in ch.columns
+
+
+def test_ids_listed_twice_keep_apart(spark, tmp_path):
+    raw = f"{state_dir(spark)}/ingest-{uuid.uuid4().hex}"
+    pages_df = spark.createDataFrame(
+        [(dt.date(2025, 1, 1), 1, 2, [(1, False), (1, False)]), (dt.date(2025, 1, 1), 2, 2, [(1, False)])],
+        "change_date date, page int, total_pages int, results array<struct<id:bigint, adult:boolean>>")
+    pages_df.write.partitionBy("change_date").parquet(str(tmp_path / "pages"))
+    _lines(str(tmp_path / "det" / "d.json"), [_detail(1)])
+    ingest_changes(spark, str(tmp_path / "pages"), str(tmp_path / "det"), "movie",
+                   "2025-01-01", "2025-01-02", raw, "1764800000.000000")
+    ids = spark.read.parquet(f"{raw}/ids_movies_changes")
+    assert ids.columns == ["id", "adult", "_dlt_load_id", "_dlt_id"]
+    assert (ids.count(), ids.select("_dlt_id").distinct().count()) == (3, 3)
+    ledger = {r.schema_name: r for r in spark.read.parquet(f"{raw}/_dlt_loads").collect()}
+    assert ledger["ids_movies_changes"].row_count == 3 and ledger["movie_changes"].row_count == 1
+    assert all(len(r.schema_version_hash) == 32 for r in ledger.values())

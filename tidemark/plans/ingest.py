@@ -13,6 +13,8 @@ Each run appends one load and its ledger row; nothing is collected.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
@@ -41,7 +43,14 @@ def _typed(found: DataFrame, columns) -> DataFrame:
 
 def _append(df: DataFrame, path: str, ledger_root: str, schema_name: str, load_id: str) -> None:
     df.write.mode("append").parquet(path)
-    ledger = rawload.load_ledger(df, schema_name, F.current_timestamp(), schema_name)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    _record(written.filter(F.col(rawload.LOAD_ID) == load_id), df, ledger_root, schema_name)
+
+
+def _record(written: DataFrame, df: DataFrame, ledger_root: str, schema_name: str) -> None:
+    """The load's ledger row, counted from the rows as written."""
+    version = hashlib.md5(df.schema.simpleString().encode()).hexdigest()
+    ledger = rawload.load_ledger(written, schema_name, F.current_timestamp(), version)
     ledger.write.mode("append").parquet(f"{ledger_root}/_dlt_loads")
 
 
@@ -55,16 +64,19 @@ def ingest_export(spark: SparkSession, export_path: str, details_path: str, enti
     stamped = rawload.stamp_load(typed.drop(rawload.ROW_ID), load_id, key=["id"])
     routed = routing.route(stamped)
     routed.write.mode("append").partitionBy("target_table").parquet(f"{raw_root}/exports")
-    ledger = rawload.load_ledger(stamped, f"export_{entity}", F.current_timestamp(), "export")
-    ledger.write.mode("append").parquet(f"{raw_root}/_dlt_loads")
+    written = spark.read.schema(routed.schema).parquet(f"{raw_root}/exports")
+    mine = (F.col(rawload.LOAD_ID) == load_id) & (F.col("_entity_type") == entity)
+    _record(written.filter(mine), stamped, raw_root, f"export_{entity}")
 
 
 def ingest_changes(spark: SparkSession, pages_path: str, details_path: str, entity: str,
                    start, end, raw_root: str, load_id: str) -> None:
     """§3.2: changed ids of ``entity`` in [start, end] and their details."""
     listed = changes.read_change_window(spark, pages_path, start, end)
-    items = pages.flatten_pages(listed, listing=["change_date"])
-    ids = rawload.stamp_load(items.select("id", "adult"), load_id, key=["id"])
+    items = pages.flatten_pages(listed, listing=["change_date"], position="place")
+    # An id may be listed more than once in a load; where it was listed keeps the row ids apart.
+    where = ["change_date", "page", "place"]
+    ids = rawload.stamp_load(items.select("id", "adult", *where), load_id, key=["id"]).drop(*where)
     _append(ids, f"{raw_root}/ids_{entity}s_changes", raw_root, f"ids_{entity}s_changes", load_id)
     found = enrich.enrich_found(ids, read_details(spark, details_path, entity), key="id", status=HTTP_STATUS)
     columns = CONTRACTS[entity][1]

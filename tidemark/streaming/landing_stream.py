@@ -16,10 +16,13 @@ other (even for files that share a modification time).
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from tidemark.functions.timefmt import micros_to_ntz
 from tidemark.sources import rawload
 from tidemark.sources.exports import tag_entity
 
@@ -36,7 +39,8 @@ def landed_exports(spark: SparkSession, landing_dir: str, schema: StructType, en
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     df = r.json(landing_dir)
-    lid = rawload.load_id_of(F.col("_metadata.file_modification_time").cast("timestamp_ntz"))
+    # The instant in UTC, whatever the session's time zone.
+    lid = rawload.load_id_of(micros_to_ntz(F.unix_micros("_metadata.file_modification_time")))
     df = df.withColumn(rawload.LOAD_ID, lid)
     if flatten:
         df = rawload.flatten_nested(df)
@@ -54,7 +58,10 @@ def append_new_exports(spark: SparkSession, landing_dir: str, schema: StructType
         stamped = batch.withColumn(rawload.ROW_ID, rawload.row_id_col(rawload.LOAD_ID, key, content))
         (stamped.withColumn(BATCH, F.lit(batch_id)).write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(raw_path))
-        ledger = rawload.load_ledger(stamped, entity or "changes", F.current_timestamp(), schema.simpleString())
+        stored = StructType([*stamped.schema, StructField(BATCH, IntegerType())])
+        written = spark.read.schema(stored).parquet(raw_path).filter(F.col(BATCH) == batch_id)
+        version = hashlib.md5(schema.simpleString().encode()).hexdigest()
+        ledger = rawload.load_ledger(written, entity or "changes", F.current_timestamp(), version)
         (ledger.withColumn(BATCH, F.lit(batch_id)).write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(ledger_path))
 
