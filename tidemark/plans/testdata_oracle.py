@@ -124,34 +124,81 @@ OD_LOAD = epoch_text("o.o_orderdate")
 
 MOVIE = f"(o.o_custkey * {fixtures.MOVIES_PER_CUSTOMER} + r.part_no + 1)"
 
-MOVIE_BRIDGE = f"""
-WITH {LINES},
+MOVIE_SNAPSHOT = f"""{LINES},
 rec AS (SELECT l_orderkey, part_no, count(*) AS n_items FROM tagged GROUP BY l_orderkey, part_no),
 st AS (
   SELECT {MOVIE} AS tmdb_id, {OD_LOAD} AS load_id, {local(OD_LOAD)} AS load_date,
          {row_id(OD_LOAD, MOVIE, 'o.o_orderkey')} AS dlt_id,
-         r.l_orderkey, r.part_no, r.n_items
+         r.l_orderkey, r.part_no, r.n_items, o.o_orderpriority AS title, o.o_totalprice AS popularity
   FROM rec r JOIN orders o ON o.o_orderkey = r.l_orderkey),
 r1 AS (SELECT * FROM st WHERE load_id < '{fixtures.MOVIE_LOAD_CUTOFF}'
        QUALIFY row_number() OVER (PARTITION BY tmdb_id ORDER BY load_id DESC, dlt_id DESC) = 1),
 r2 AS (SELECT * FROM st
        QUALIFY row_number() OVER (PARTITION BY tmdb_id ORDER BY load_id DESC, dlt_id DESC) = 1),
-v1 AS (SELECT r1.tmdb_id, r1.l_orderkey, r1.part_no, r1.n_items, {scd('r1.tmdb_id', 'r1.load_date')} AS scd_id,
+v1 AS (SELECT r1.tmdb_id, r1.l_orderkey, r1.part_no, r1.n_items, r1.title, r1.popularity, {scd('r1.tmdb_id', 'r1.load_date')} AS scd_id,
               r1.load_date AS dbt_updated_at, r1.load_date AS dbt_valid_from,
               CASE WHEN r2.load_date > r1.load_date THEN r2.load_date END AS dbt_valid_to
        FROM r1 LEFT JOIN r2 ON r1.tmdb_id = r2.tmdb_id),
-v2 AS (SELECT r2.tmdb_id, r2.l_orderkey, r2.part_no, r2.n_items, {scd('r2.tmdb_id', 'r2.load_date')} AS scd_id,
+v2 AS (SELECT r2.tmdb_id, r2.l_orderkey, r2.part_no, r2.n_items, r2.title, r2.popularity, {scd('r2.tmdb_id', 'r2.load_date')} AS scd_id,
               r2.load_date AS dbt_updated_at, r2.load_date AS dbt_valid_from, CAST(NULL AS TIMESTAMP) AS dbt_valid_to
        FROM r2 LEFT JOIN r1 ON r1.tmdb_id = r2.tmdb_id
        WHERE r1.tmdb_id IS NULL OR r2.load_date > r1.load_date),
 snap AS (SELECT * FROM v1 UNION ALL SELECT * FROM v2),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY tmdb_id ORDER BY dbt_updated_at DESC) AS rn FROM snap)
+ranked AS (SELECT *, row_number() OVER (PARTITION BY tmdb_id ORDER BY dbt_updated_at DESC) AS rn FROM snap)"""
+
+MOVIE_BRIDGE = f"""
+WITH {MOVIE_SNAPSHOT}
 SELECT md5(v.scd_id || ({BRAND})::VARCHAR) AS dim_movie_genre_id, v.scd_id AS dim_movie_id, {BRAND} AS genre_id,
        1.0::DOUBLE / v.n_items AS genre_weight, v.dbt_valid_from, v.dbt_valid_to,
        CASE WHEN v.rn = 1 THEN 1 ELSE 0 END AS is_current, CAST(v.dbt_valid_from AS DATE) AS valid_from,
        CASE WHEN v.rn = 1 THEN {OPEN_END} ELSE {day_before('v.dbt_valid_to')} END AS valid_to
 FROM ranked v JOIN tagged t ON t.l_orderkey = v.l_orderkey AND t.part_no = v.part_no"""
 
+MOVIE_DATED = f"""CAST(v.dbt_valid_from AS DATE), CASE WHEN v.rn = 1 THEN {OPEN_END} ELSE {day_before('v.dbt_valid_to')} END,
+       CASE WHEN v.rn = 1 THEN 1 ELSE 0 END"""
+NO_DOUBLE = "CAST(NULL AS DOUBLE)"
+P1, P2 = local(repr(fixtures.PERSON_LOAD_1)), local(repr(fixtures.PERSON_LOAD_2))
+
+MOVIE_MARTS = f"""
+WITH {MOVIE_SNAPSHOT},
+lines AS (SELECT v.*, t.* EXCLUDE (l_orderkey, part_no) FROM ranked v
+          JOIN tagged t ON t.l_orderkey = v.l_orderkey AND t.part_no = v.part_no),
+f1 AS (SELECT {scd('tmdb_id', 'load_date')} AS id, n_items, popularity, CAST(load_date AS DATE) AS day FROM r1),
+f2 AS (SELECT scd_id AS id, n_items, popularity, CAST(dbt_valid_from AS DATE) AS day FROM snap
+       WHERE dbt_valid_to IS NULL AND CAST(dbt_valid_from AS DATE) > (SELECT max(day) FROM f1)),
+ppl AS (SELECT c_custkey AS tmdb_id, c_name AS name, c_acctbal AS popularity, {P1} AS dbt_valid_from,
+               CASE WHEN c_nationkey = 3 THEN {P2} END AS dbt_valid_to, CASE WHEN c_nationkey = 3 THEN 2 ELSE 1 END AS rn
+        FROM customer
+        UNION ALL
+        SELECT c_custkey, c_name, c_acctbal + 1.0, {P2}, NULL, 1 FROM customer WHERE c_nationkey = 3),
+people AS (SELECT *, {scd('tmdb_id', 'dbt_valid_from')} AS scd_id FROM ppl),
+g1 AS (SELECT DISTINCT {BRAND} AS genre_id, p_type FROM r1
+       JOIN tagged t ON t.l_orderkey = r1.l_orderkey AND t.part_no = r1.part_no),
+g2 AS (SELECT DISTINCT {BRAND} AS genre_id, p_type FROM r2
+       JOIN tagged t ON t.l_orderkey = r2.l_orderkey AND t.part_no = r2.part_no
+       WHERE r2.load_date > {ts('1998-01-01 00:00:00')})
+SELECT 'dim_movies' AS mart, v.scd_id AS id, v.tmdb_id::VARCHAR AS ref, v.title AS name, {NO_DOUBLE} AS value,
+       {MOVIE_DATED.replace(", CASE", " AS day, CASE", 1).replace("END,", "END AS until,", 1)} AS is_current
+FROM ranked v
+UNION ALL SELECT 'dim_persons', v.scd_id, v.tmdb_id::VARCHAR, v.name, v.popularity, {MOVIE_DATED} FROM people v
+UNION ALL SELECT 'dim_movies_genres', md5(v.scd_id || ({BRAND})::VARCHAR), ({BRAND})::VARCHAR, v.scd_id,
+       1.0::DOUBLE / v.n_items, {MOVIE_DATED} FROM lines v
+UNION ALL SELECT 'dim_credits', md5(v.scd_id || l_partkey::VARCHAR || c), l_partkey::VARCHAR,
+       c || '|' || l_returnflag || '|Acting|Acting', {NO_DOUBLE}, {MOVIE_DATED}
+FROM (SELECT *, l_orderkey::VARCHAR || '-' || l_linenumber::VARCHAR || '-' || l_partkey::VARCHAR AS c FROM lines) v
+UNION ALL SELECT 'dim_credits', md5(v.scd_id || l_suppkey::VARCHAR || c), l_suppkey::VARCHAR,
+       c || '|-|' || l_linestatus || '|' || l_returnflag || l_linestatus, {NO_DOUBLE}, {MOVIE_DATED}
+FROM (SELECT *, l_orderkey::VARCHAR || '-' || l_linenumber::VARCHAR || '-' || l_suppkey::VARCHAR AS c FROM lines) v
+UNION ALL SELECT 'dim_genres', NULL, genre_id::VARCHAR, p_type, {NO_DOUBLE}, DATE '1998-01-01', DATE '1998-01-01', 1
+FROM g1 WHERE genre_id NOT IN (SELECT genre_id FROM g2)
+UNION ALL SELECT 'dim_genres', NULL, genre_id::VARCHAR, p_type, {NO_DOUBLE}, DATE '2001-09-01', DATE '2001-09-01', 1 FROM g2
+UNION ALL SELECT 'fact_movies_daily_measures', id, n_items::VARCHAR, NULL, popularity, day, day, 1
+FROM (SELECT * FROM f1 UNION ALL SELECT * FROM f2)
+UNION ALL SELECT 'fact_person_popularity', {scd('c_custkey', P1)}, NULL, NULL, c_acctbal, CAST({P1} AS DATE), CAST({P1} AS DATE), 1
+FROM customer
+UNION ALL SELECT 'fact_person_popularity', scd_id, NULL, NULL, popularity, CAST(dbt_valid_from AS DATE), CAST(dbt_valid_from AS DATE), 1
+FROM people WHERE dbt_valid_from > CAST(CAST({P1} AS DATE) AS TIMESTAMP)"""
+
 ORACLE = {
     "export_scan_limit": f"""
 SELECT event_id, ts, user_id, event_type, value, props, 'event' AS _entity_type,
@@ -326,4 +373,6 @@ f2 AS (SELECT {scd('tmdb_id', 'load_date')} AS dim_event_id, CAST(load_date AS D
 SELECT * FROM f1 UNION ALL SELECT * FROM f2""",
 
     "movie_marts_end_to_end": MOVIE_BRIDGE,
+
+    "movie_marts_compared": MOVIE_MARTS,
 }

@@ -293,6 +293,38 @@ def movie_marts_end_to_end(spark: SparkSession, d: str) -> DataFrame:
     return build(spark, raw, root, run_date="2001-09-01", n_buckets=16)["dim_movies_genres"]
 
 
+# 30 --------------------------------------------------------------------------
+def movie_marts_compared(spark: SparkSession, d: str) -> DataFrame:
+    """The same two builds; one narrow row for each row of all seven marts
+    (a row without validity counts as current on its day)."""
+    from tidemark.plans.build import build
+    from tidemark.session import state_dir
+
+    root = f"{state_dir(spark)}/tidemark-marts-{uuid.uuid4().hex}"
+    raw = fixtures.land_movie_raw(spark, d, root)
+    build(spark, fixtures.raw_until(raw, fixtures.MOVIE_LOAD_CUTOFF), root, run_date="1998-01-01", n_buckets=4)
+    m = build(spark, raw, root, run_date="2001-09-01", n_buckets=4)
+
+    def rows(mart, id=None, ref=None, name=None, value=None, day="valid_from", until=None, current=None):
+        col = lambda c, t: (F.lit(None) if c is None else F.col(c) if isinstance(c, str) else c).cast(t)
+        return m[mart].select(
+            F.lit(mart).alias("mart"), col(id, "string").alias("id"), col(ref, "string").alias("ref"),
+            col(name, "string").alias("name"), col(value, "double").alias("value"), col(day, "date").alias("day"),
+            col(until or day, "date").alias("until"), col(F.lit(1) if current is None else current, "int").alias("is_current"))
+
+    dated = {"until": "valid_to", "current": "is_current"}
+    credit = F.concat_ws("|", "credit_id", F.coalesce("character", F.lit("-")), "department", "job")
+    return unions.union_all([
+        rows("dim_movies", "dim_movie_id", "tmdb_id", "title", **dated),
+        rows("dim_persons", "dim_person_id", "tmdb_id", "name", "popularity", **dated),
+        rows("dim_movies_genres", "dim_movie_genre_id", "genre_id", "dim_movie_id", "genre_weight", **dated),
+        rows("dim_credits", "dim_credit_id", "tmdb_person_id", credit, **dated),
+        rows("dim_genres", ref="genre_id", name="genre_name", day="load_date"),
+        rows("fact_movies_daily_measures", "dim_movie_id", "vote_count", value="popularity", day="fact_date"),
+        rows("fact_person_popularity", "dim_person_id", value="popularity", day="fact_date"),
+    ])
+
+
 QUERIES = {
     "export_scan_limit": export_scan_limit,
     "route_by_entity": route_by_entity,
@@ -323,4 +355,5 @@ QUERIES = {
     "upsert_composite_key": upsert_composite_key,
     "build_end_to_end": build_end_to_end,
     "movie_marts_end_to_end": movie_marts_end_to_end,
+    "movie_marts_compared": movie_marts_compared,
 }
