@@ -142,6 +142,8 @@ class Encoder:
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
         c = cuts(data)
+        tail = (ends - 1)[lengths > 0]
+        c[tail[data[tail + 3] == 32]] = False  # what follows a text's last space is another text
         c[(ends - lengths)[lengths > 0]] = True
         at = np.flatnonzero(c)
         size = np.diff(at, append=total)
