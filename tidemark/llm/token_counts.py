@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import small_batches
-from tidemark.llm.tokens import default_path, encoder
+from tidemark.llm.tokens import BLOCK, default_path, encoder
 
 #: Bytes of a leaf, and by how much a leaf may grow before its region is spread anew.
 LEAF, GROWTH = 256, 4
@@ -39,17 +39,33 @@ COUNTS = (
 
 def leaves(enc, text: str, size: int = LEAF) -> list[tuple[int, int]]:
     """(code points, tokens) of each leaf of a text."""
+    return next(leaves_of(enc, [text], [size]))
+
+
+def leaves_of(enc, texts: list[str], sizes: list[int]):
+    """The leaves of many texts, of ``sizes`` bytes each; about BLOCK bytes are encoded at a time."""
     import numpy as np
 
-    raw = text.encode()
-    if not raw:
-        return []
-    _, _, _, (width, n) = enc.block([raw])
-    ends = np.cumsum(width)
-    starts = ends - width
-    first = np.flatnonzero(np.diff(starts // size, prepend=-1) > 0)  # the first piece in each stretch of ``size`` bytes
-    chars = np.add.reduceat((np.frombuffer(raw, dtype=np.uint8) & 0xC0) != 0x80, starts[first], dtype=np.int64)
-    return list(zip(chars.tolist(), np.add.reduceat(n, first).tolist()))
+    raws = [t.encode() for t in texts]
+    at = 0
+    while at < len(raws):
+        upto, weight = at, 0
+        while upto < len(raws) and (upto == at or weight + len(raws[upto]) <= BLOCK):
+            weight += len(raws[upto])
+            upto += 1
+        _, _, pieces, (widths, counts) = enc.block(raws[at:upto])
+        last = np.cumsum(pieces)
+        for raw, size, lo, hi in zip(raws[at:upto], sizes[at:upto], (last - pieces).tolist(), last.tolist()):
+            if not raw:
+                yield []
+                continue
+            width = widths[lo:hi]
+            starts = np.cumsum(width) - width
+            stretch = starts // size
+            first = np.flatnonzero(np.concatenate([[True], stretch[1:] > stretch[:-1]]))  # the first piece in each stretch of ``size`` bytes
+            chars = np.add.reduceat((np.frombuffer(raw, dtype=np.uint8) & 0xC0) != 0x80, starts[first], dtype=np.int64)
+            yield list(zip(chars.tolist(), np.add.reduceat(counts[lo:hi], first).tolist()))
+        at = upto
 
 
 class Tree:
@@ -115,26 +131,36 @@ class Tree:
     def rows(self) -> list[tuple[int, int]]:
         return [(c, n) for c, n in zip(self.chars[self.cap :], self.tokens[self.cap :]) if c]
 
-    def edit(self, enc, text: str, start: int, length: int, new: str) -> tuple["Tree", str, int]:
-        """The tree and text after a splice, and the code points that were encoded for it."""
+    def region(self, text: str, start: int, length: int, new: str) -> tuple[str, int, int, str, int]:
+        """For a splice: the text after it, first and last leaf, the region to be encoded and its leaves' size."""
         total = self.chars[1]
         after = text[:start] + new + text[start + length :]
         if not total:
-            return Tree.of(leaves(enc, after)), after, len(after)
+            return after, 0, 0, after, LEAF
         first = self.near(self.find(min(start, total - 1)), -1)
         last = self.near(self.find(min(max(start, start + length - 1), total - 1)), 1)
         if start:
             first = min(first, self.near(self.find(start - 1), -1))
         lo, hi = self.before(first), self.before(last) + self.chars[self.cap + last]
         region = after[lo : hi + len(new) - length]
+        return after, first, last, region, max(LEAF, len(region.encode()) // (last - first + 1) + 1)
+
+    def settle(self, enc, first: int, last: int, region: str, rows: list[tuple[int, int]]) -> "Tree":
+        """The tree with the region's new leaves in the places from ``first`` to ``last``."""
+        if not self.chars[1]:
+            return Tree.of(rows)
         places = last - first + 1
-        rows = leaves(enc, region, max(LEAF, len(region.encode()) // places + 1))
         if len(rows) > places or len(region) > GROWTH * LEAF * places:
             kept = list(zip(self.chars[self.cap :], self.tokens[self.cap :]))
             rows = kept[:first] + leaves(enc, region) + kept[last + 1 :]
-            return Tree.of([x for x in rows if x[0]]), after, len(region)
+            return Tree.of([x for x in rows if x[0]])
         self.put(first, rows + [(0, 0)] * (places - len(rows)))
-        return self, after, len(region)
+        return self
+
+    def edit(self, enc, text: str, start: int, length: int, new: str) -> tuple["Tree", str, int]:
+        """The tree and text after a splice, and the code points that were encoded for it."""
+        after, first, last, region, size = self.region(text, start, length, new)
+        return self.settle(enc, first, last, region, leaves(enc, region, size)), after, len(region)
 
 
 def build(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
@@ -148,7 +174,7 @@ def build(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
         enc = encoder(path)
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            trees = [Tree.of(leaves(enc, t)) for t in texts]
+            trees = [Tree.of(rows) for rows in leaves_of(enc, texts, [LEAF] * len(texts))]
             ints = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(texts, pa.string()), pa.array([t.chars for t in trees], ints), pa.array([t.tokens for t in trees], ints)],
@@ -190,19 +216,24 @@ def apply_edits(trees: DataFrame, tokenizer: str | None = None) -> DataFrame:
         enc = encoder(path)
         names = [x.strip().split()[0] for x in COUNTS.split(",")]
         for batch in batches:
-            out = []
+            docs = []
             for doc, text, chars, tokens, edits, rejected in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "tree_chars", "tree_tokens", "edits", "rejected"))):
-                tree, n_leaves, done, encoded, rejected, upto = Tree(chars, tokens), 0, 0, 0, rejected or 0, len(text)
+                tree, splices, rejected, upto = Tree(chars, tokens), [], rejected or 0, len(text)
                 before = (tree.chars[1], tree.tokens[1], len(tree.rows()))
                 for e in sorted(edits or [], key=lambda e: -e["start"]):
-                    start = min(e["start"], len(text) if not done else upto)
-                    if e["start"] + e["length"] > upto and done:
+                    if e["start"] + e["length"] > upto and splices:
                         rejected += 1
                         continue
-                    length = min(e["length"], upto - start)
-                    tree, text, n = tree.edit(enc, text, start, length, e["replacement"] or "")
-                    upto, done, encoded = start, done + 1, encoded + n
-                out.append((doc, *before, done, rejected, tree.chars[1], tree.tokens[1], encoded, text))
+                    start = min(e["start"], upto)
+                    splices.append((start, min(e["length"], upto - start), e["replacement"] or ""))
+                    upto = start
+                docs.append([doc, before, splices, rejected, tree, text, 0])
+            for turn in range(max((len(d[2]) for d in docs), default=0)):  # one splice of each document at a time, encoded together
+                now = [d for d in docs if len(d[2]) > turn]
+                plans = [d[4].region(d[5], *d[2][turn]) for d in now]
+                for d, (after, first, last, region, _), rows in zip(now, plans, leaves_of(enc, [x[3] for x in plans], [x[4] for x in plans])):
+                    d[4], d[5], d[6] = d[4].settle(enc, first, last, region, rows), after, d[6] + len(region)
+            out = [(doc, *before, len(splices), rejected, tree.chars[1], tree.tokens[1], encoded, text) for doc, before, splices, rejected, tree, text, encoded in docs]
             types = [pa.int64()] * 9 + [pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 10, types)], names=names)
 
