@@ -142,6 +142,15 @@ def test_language_rejects_what_is_far(spark):
     assert all(r["rejected"] for r in langid.predict(junk, model).collect())
 
 
+def test_language_rejects_one_that_was_left_out(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
+    for left in ("en", "es", "fr", "de"):
+        model = langid.fit(langid.learnable(table).filter(langid.F.col("lang") != left))
+        rows = langid.predict(table.filter(langid.held_out(langid.F.col("doc_id"))), model).select("lang", "rejected").collect()
+        far, near = ([r["rejected"] for r in rows if (r["lang"] == left) == side] for side in (True, False))
+        assert sum(far) >= 0.97 * len(far) > 0 and sum(near) <= 0.01 * len(near)
+
+
 def brute_order_minhash(text):
     """The same signature, from a plain list of (hash, place)."""
     m64 = (1 << 64) - 1

@@ -6,8 +6,10 @@ inverse document frequency, normalised.  Document frequencies come from every
 document that may be learned from.  Each language's centroids are clusters
 (spherical k-means) of a sample of its documents, one task a language; a text
 gets the language of the centroid with the largest cosine.  A text is rejected
-if its cosine is below that centroid's limit, which lies REJECT spreads below
-the mean cosine of the cluster's own documents.
+if its cosine is below that centroid's limit, which lies REJECT of the language's
+spreads below the mean cosine of the cluster's own documents, and at most at their
+FEWEST quantile (those of the language's, for a cluster of fewer than FEW).  A sample document's cosine is taken to the centroid without it, as
+that of a text outside the sample is.
 
 The sample has at most SAMPLE documents a language, chosen by a hash of doc_id.
 
@@ -28,7 +30,8 @@ DIMS = 4096
 #: Bound of the sample a language's centroids are fitted on.
 SAMPLE = 600
 CLUSTERS, ROUNDS = 4, 8
-REJECT = 8.0
+#: Chosen on learnable rows outside the sample, and on those of a language that was left out of fitting.
+REJECT, FEWEST, FEW = 4.0, 0.005, 10
 #: Code points of a text handled at a time; counts of longer texts are added up.
 STRETCH = 1_000_000
 
@@ -137,10 +140,16 @@ def fit(learn: DataFrame) -> dict:
             own = (x @ c.T).argmax(axis=1)
             c = np.vstack([x[own == k].mean(axis=0) if (own == k).any() else c[k] for k in range(len(c))])
             c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
-        best = (x @ c.T).max(axis=1)
-        own = (x @ c.T).argmax(axis=1)
+        cos = x @ c.T
+        own = cos.argmax(axis=1)
+        others = np.vstack([x[own == k].sum(axis=0) for k in range(len(c))])[own] - x
+        norms = np.linalg.norm(others, axis=1)
+        alone = np.bincount(own, minlength=len(c))[own] < 2
+        cos[np.arange(len(x)), own] = np.where(alone, 0, (x * others).sum(axis=1) / np.maximum(norms, 1e-12))
+        best = cos.max(axis=1)
         spread = max(float(best.std()), 0.01)
-        low = [float(best[own == k].mean() if (own == k).any() else best.mean()) - REJECT * spread for k in range(len(c))]
+        mine = [best[own == k] if (own == k).sum() >= FEW else best for k in range(len(c))]
+        low = [min(float(b.mean()) - REJECT * spread, float(np.quantile(b, FEWEST))) for b in mine]
         return pa.table({"lang": [key[0].as_py()] * len(c), "low": low, "centroid": [r.astype("<f4").tobytes() for r in c]})
 
     small_batches(spark)
