@@ -118,6 +118,16 @@ def test_near_on_large_groups(spark, monkeypatch):
     assert found(ngram_join.near_duplicates(df, 4, 85)) == want
 
 
+def test_near_of_a_doc_id_on_two_texts(spark):
+    """5 carries B in its task and gives up A, which the other task holds too."""
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    tasks = [[(5, a), (5, b), (9, b)], [(3, a), (7, b + " end")]]
+    df = [spark.createDataFrame(t, "doc_id long, text string").coalesce(1) for t in tasks]
+    want = brute_components(sum(tasks, []), 4, 85)
+    assert {c for _, _, c in want} == {3}
+    assert found(ngram_join.near_duplicates(df[0].union(df[1]), 4, 85)) == want
+
+
 def test_near_drop(docs, fixture_rows):
     stay = ngram_join.drop_near_duplicates(docs)
     want = brute_components([r[:2] for r in fixture_rows], 5, 80)

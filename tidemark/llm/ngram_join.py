@@ -372,8 +372,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     # of a set that several tasks met, one row goes on
     met = prefixes.filter("rare is not null").select("doc_id", "n", "s1", "s2")
     one = met.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("one"), F.count("*").alias("m")).filter("m > 1")
-    spare = written(met.join(one, ["n", "s1", "s2"]).filter("doc_id <> one").select("doc_id").distinct(), "spare", root)
-    carriers = prefixes.filter("rare is not null").join(broadcast_if_small(spare), "doc_id", "left_anti")
+    spare = written(met.join(one, ["n", "s1", "s2"]).filter("doc_id <> one").select("doc_id", "n", "s1", "s2").distinct(), "spare", root)
+    carriers = prefixes.filter("rare is not null").join(broadcast_if_small(spare), ["doc_id", "n", "s1", "s2"], "left_anti")
 
     rare = written(_rare_candidates(carriers, percent), "rare", root)
     crowd = rare.filter("token is not null").select("token", F.col("a").alias("doc"), "n", "at")
