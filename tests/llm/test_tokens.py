@@ -181,3 +181,41 @@ def test_small_texts_have_trees(size):
     enc = tokens.encoder(tokens.default_path())
     t = token_counts.Tree.of(token_counts.leaves(enc, "a" * size))
     assert t.chars[1] == size and t.tokens[1] == len(whole("a" * size))
+
+
+PLAIN = Tokenizer.from_file(tokens.default_path())  # as the file has it
+WITH_ADDED = st.one_of(ALPHABET, st.sampled_from(["<|endoftext|>", "<|endof", "text|>", "<|", " "]))
+
+
+def as_given(text):
+    return PLAIN.encode(text or "", add_special_tokens=False).ids
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(WITH_ADDED, max_size=40).map("".join), max_size=6))
+def test_added_tokens_are_read_as_the_library_reads_them(texts):
+    got = [x.tolist() for x in tokens.encoder(tokens.default_path(), True).encode(texts)]
+    assert got == [as_given(t) for t in texts]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(WITH_ADDED, max_size=200).map("".join), st.lists(st.tuples(st.integers(0, 400), st.integers(0, 30), st.lists(WITH_ADDED, max_size=6).map("".join)), max_size=6))
+def test_edits_make_and_break_added_tokens(text, splices):
+    enc = tokens.encoder(tokens.default_path(), True)
+    tree = token_counts.Tree.of(token_counts.leaves(enc, text, 16))
+    for start, length, new in splices:
+        start = min(start, len(text))
+        tree, text, _ = tree.edit(enc, text, start, min(length, len(text) - start), new)
+        assert tree.chars[1] == len(text) and tree.tokens[1] == len(as_given(text))
+
+
+def test_queries_read_added_tokens(spark, tmp_path):
+    texts = {1: "a<|endoftext|>b", 2: "plain", 3: " x  <|endoftext|> y"}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert as_given(texts[1]) == [64, 50256, 65]
+    want = {d: as_given(t) for d, t in texts.items()}
+    binary = {r["doc_id"]: r for r in queries.op2_token_binary(spark, str(tmp_path)).collect()}
+    assert {d: (r["n_tokens"], r["ids_crc32"]) for d, r in binary.items()} == {d: (len(x) + 1, crc(x + [0])) for d, x in want.items()}
+    assert binary[2]["start"] == len(want[1]) + 1
+    assert {r["doc_id"]: r["n_tokens"] for r in queries.op1_token_counts(spark, str(tmp_path)).collect()} == {d: len(x) for d, x in want.items()}
+    assert {r["doc_id"]: r["doc_tokens"] for r in queries.op8_packing(spark, str(tmp_path)).collect()} == {d: len(x) + 1 for d, x in want.items()}

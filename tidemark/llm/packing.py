@@ -80,7 +80,7 @@ class Levels:
                     now = []
 
 
-def pack(docs: DataFrame, window: int = 1024, tokenizer: str | None = None, end_id: int = 0) -> DataFrame:
+def pack(docs: DataFrame, window: int = 1024, tokenizer: str | None = None, end_id: int = 0, added: bool = False) -> DataFrame:
     """Pieces of ``docs`` (doc_id, text): where each lies in its document and in its sequence, and its ids."""
     spark = docs.sparkSession
     small_batches(spark)
@@ -92,7 +92,7 @@ def pack(docs: DataFrame, window: int = 1024, tokenizer: str | None = None, end_
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        enc, levels = encoder(path), Levels(window)
+        enc, levels = encoder(path, added), Levels(window)
         schema = pa.schema([(n, pa.binary() if n == "ids" else pa.int64()) for n in ("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids")])
         rows, made = [], 0
 

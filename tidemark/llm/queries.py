@@ -19,14 +19,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every document before and after three splices."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     text = F.coalesce("text", F.lit(""))
-    trees = token_counts.build(docs).withColumn("edits", token_counts.sample_edits(F.char_length(text), text))
-    out = token_counts.apply_edits(trees)
+    trees = token_counts.build(docs, added=True).withColumn("edits", token_counts.sample_edits(F.char_length(text), text))
+    out = token_counts.apply_edits(trees, added=True)
     return out.withColumn("edited_sha256", F.sha2("edited_text", 256)).drop("edited_text")
 
 
 def op2_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_root(spark)
-    manifest = token_binary.write_tokens(documents(spark, sf_dir), folder)
+    manifest = token_binary.write_tokens(documents(spark, sf_dir), folder, added=True)
     back = token_binary.read_tokens(spark, folder, manifest)
     return back.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
@@ -57,7 +57,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(documents(spark, sf_dir))
+    pieces = packing.pack(documents(spark, sf_dir), added=True)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

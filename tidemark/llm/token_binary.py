@@ -39,7 +39,7 @@ def open_folder(uri: str):
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
 
-def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: int = 0) -> DataFrame:
+def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: int = 0, added: bool = False) -> DataFrame:
     """Encode ``docs`` (doc_id, text) into files below ``folder``; returns the manifest with bases."""
     spark = docs.sparkSession
     small_batches(spark)
@@ -51,7 +51,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, end
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        enc = encoder(path)
+        enc = encoder(path, added)
         width = 2 if max(enc.vocabulary, end_id + 1) <= 1 << 16 else 4
         store, top = open_folder(folder)
         name = f"{part:06d}-{uuid.uuid4().hex[:8]}"

@@ -10,7 +10,8 @@ leaves keep their sums and are not encoded again.
 
 Leaves begin where a pre-token is sure to begin (``tokens.cuts``), judged by
 the three bytes before and two behind; the leaf of context keeps these
-untouched, so the sums always equal those of encoding the whole edited text.
+untouched, so the sums always equal those of encoding the whole edited text.  Where
+added tokens are read, the context is as many leaves as an added token may reach over.
 
 Edits are splices (start, length, replacement) in code points of the text as it
 was, and are applied from the end.  Positions beyond the text are clipped; a
@@ -131,7 +132,7 @@ class Tree:
     def rows(self) -> list[tuple[int, int]]:
         return [(c, n) for c, n in zip(self.chars[self.cap :], self.tokens[self.cap :]) if c]
 
-    def region(self, text: str, start: int, length: int, new: str) -> tuple[str, int, int, str, int]:
+    def region(self, text: str, start: int, length: int, new: str, context: int = 0) -> tuple[str, int, int, str, int]:
         """For a splice: the text after it, first and last leaf, the region to be encoded and its leaves' size."""
         total = self.chars[1]
         after = text[:start] + new + text[start + length :]
@@ -141,6 +142,10 @@ class Tree:
         last = self.near(self.find(min(max(start, start + length - 1), total - 1)), 1)
         if start:
             first = min(first, self.near(self.find(start - 1), -1))
+        while first > 0 and start - self.before(first) < context:
+            first = self.near(first, -1)
+        while last < self.cap - 1 and self.before(last) + self.chars[self.cap + last] - start - length < context:
+            last = self.near(last, 1)
         lo, hi = self.before(first), self.before(last) + self.chars[self.cap + last]
         region = after[lo : hi + len(new) - length]
         return after, first, last, region, max(LEAF, len(region.encode()) // (last - first + 1) + 1)
@@ -159,11 +164,11 @@ class Tree:
 
     def edit(self, enc, text: str, start: int, length: int, new: str) -> tuple["Tree", str, int]:
         """The tree and text after a splice, and the code points that were encoded for it."""
-        after, first, last, region, size = self.region(text, start, length, new)
+        after, first, last, region, size = self.region(text, start, length, new, enc.context)
         return self.settle(enc, first, last, region, leaves(enc, region, size)), after, len(region)
 
 
-def build(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+def build(docs: DataFrame, tokenizer: str | None = None, added: bool = False) -> DataFrame:
     """The tree of each document: doc_id, text, tree_chars, tree_tokens."""
     small_batches(docs.sparkSession)
     path = tokenizer or default_path()
@@ -171,7 +176,7 @@ def build(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        enc = encoder(path)
+        enc = encoder(path, added)
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             trees = [Tree.of(rows) for rows in leaves_of(enc, texts, [LEAF] * len(texts))]
@@ -205,7 +210,7 @@ def with_edits(trees: DataFrame, edits: DataFrame) -> DataFrame:
     return trees.join(lists, "doc_id", "left")
 
 
-def apply_edits(trees: DataFrame, tokenizer: str | None = None) -> DataFrame:
+def apply_edits(trees: DataFrame, tokenizer: str | None = None, added: bool = False) -> DataFrame:
     """Counts before and after the edits of trees that have a list column ``edits`` (see ``with_edits``)."""
     small_batches(trees.sparkSession)
     path = tokenizer or default_path()
@@ -213,7 +218,7 @@ def apply_edits(trees: DataFrame, tokenizer: str | None = None) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        enc = encoder(path)
+        enc = encoder(path, added)
         names = [x.strip().split()[0] for x in COUNTS.split(",")]
         for batch in batches:
             docs = []
@@ -230,7 +235,7 @@ def apply_edits(trees: DataFrame, tokenizer: str | None = None) -> DataFrame:
                 docs.append([doc, before, splices, rejected, tree, text, 0])
             for turn in range(max((len(d[2]) for d in docs), default=0)):  # one splice of each document at a time, encoded together
                 now = [d for d in docs if len(d[2]) > turn]
-                plans = [d[4].region(d[5], *d[2][turn]) for d in now]
+                plans = [d[4].region(d[5], *d[2][turn], enc.context) for d in now]
                 for d, (after, first, last, region, _), rows in zip(now, plans, leaves_of(enc, [x[3] for x in plans], [x[4] for x in plans])):
                     d[4], d[5], d[6] = d[4].settle(enc, first, last, region, rows), after, d[6] + len(region)
             out = [(doc, *before, len(splices), rejected, tree.chars[1], tree.tokens[1], encoded, text) for doc, before, splices, rejected, tree, text, encoded in docs]

@@ -6,6 +6,10 @@ that no pre-token crosses.  ``cuts`` marks such points in a whole block of texts
 with array operations.  The pieces, mostly words, repeat, so the library is
 asked for each piece once and a table of fixed size remembers the answers.
 ``encode`` gives exactly the ids of encoding every whole text by itself.
+
+With ``added``, as the registered queries and the pipeline have it, the strings of
+the file's added tokens stand for these tokens, as the library reads them: texts are
+cut there first.  Without, they are ordinary text.
 """
 
 from __future__ import annotations
@@ -63,11 +67,19 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True  # pieces are ordinary text; added tokens are cut out before
+        known = self.tokenizer.get_added_tokens_decoder() if added else {}
+        for t in known.values():
+            if t.lstrip or t.rstrip or t.single_word or any(map(str.isspace, t.content)) or (t.normalized and self.tokenizer.normalizer):
+                raise ValueError(f"added token {t.content!r}: white space, whole words and normalised text are not supported")
+        self.added = {t.content.encode(): i for i, t in known.items()}
+        #: Bytes around an edit that a token may reach to, with what decides whether a pre-token begins there.
+        self.context = max(map(len, self.added)) + 3 if self.added else 0
+        self.find_added = re.compile(b"(" + b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + b")") if self.added else None
         self.model = self.tokenizer.model
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.letters = _byte_letters()
@@ -138,16 +150,27 @@ class Encoder:
     def block(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts in a row; ids and pieces in each text; bytes and ids of each piece."""
         lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
-        data = np.frombuffer(b"\0\0\0" + b"".join(texts) + b"\0" * 8, dtype=np.uint8)
+        joined = b"".join(texts)
+        data = np.frombuffer(b"\0\0\0" + joined + b"\0" * 8, dtype=np.uint8)
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
+        parts, part_ends, fixed = lengths, ends, np.zeros(0, dtype=np.int64)
+        if self.find_added and self.find_added.search(joined):  # added tokens, and what lies between them, are texts of their own
+            split = [self.find_added.split(t) for t in texts]  # every other one is an added token
+            parts = np.array([len(x) for s in split for x in s], dtype=np.int64)
+            part_ends = np.cumsum(parts)
+            odd_one = np.array([i % 2 == 1 for s in split for i in range(len(s))])
+            fixed = (part_ends - parts)[odd_one]
         c = cuts(data)
-        tail = (ends - 1)[lengths > 0]
+        tail = (part_ends - 1)[parts > 0]
         c[tail[data[tail + 3] == 32]] = False  # what follows a text's last space is another text
-        c[(ends - lengths)[lengths > 0]] = True
+        for lo, size in zip(fixed.tolist(), parts[odd_one].tolist() if len(fixed) else []):
+            c[lo : lo + size] = False
+        c[(part_ends - parts)[parts > 0]] = True
         at = np.flatnonzero(c)
         size = np.diff(at, append=total)
         short = size <= PIECE_BYTES
+        short[np.searchsorted(at, fixed)] = False
         if total and (zero := np.flatnonzero(data[3:-8] == 0)).size:  # a key could not tell a zero byte from padding
             short[np.searchsorted(at, zero, side="right") - 1] = False
         ids, counts, large = self._look_up(data, at[short] + 3, size[short])
@@ -157,7 +180,8 @@ class Encoder:
         where = np.flatnonzero(short)
         odd = {int(where[i]): x for i, x in large.items()}
         for i in np.flatnonzero(~short).tolist():
-            odd[i] = self.piece_ids(whole[3 + at[i] : 3 + at[i] + size[i]].decode())
+            piece = whole[3 + at[i] : 3 + at[i] + size[i]]
+            odd[i] = [self.added[piece]] if piece in self.added else self.piece_ids(piece.decode())
         for i, x in odd.items():
             n[i] = len(x)
         starts = np.cumsum(n) - n
@@ -205,14 +229,14 @@ def _shares(raw: bytes) -> list[bytes]:
     return [*out, raw[start:]]
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One per Python worker, with its table."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def encoder(path: str, added: bool = False) -> Encoder:
+    """One per Python worker and reading of added tokens, with its table."""
+    if (path, added) not in _encoders:
+        _encoders[path, added] = Encoder(path, added)
+    return _encoders[path, added]
 
 
 def default_path() -> str:
