@@ -203,6 +203,12 @@ def test_fingerprint_follows_order():
     assert order_minhash.likeness(order_minhash.fingerprint(a), order_minhash.fingerprint(a)) == 1
 
 
+def test_half_kept_text_is_nearer_than_the_next(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("doc_id < 400")
+    got = order_minhash.fingerprints(rows.filter("length(text) >= 200")).select("near_edited", "near_next").collect()
+    assert len(got) > 200 and sum(r["near_edited"] > r["near_next"] for r in got) >= 0.98 * len(got)
+
+
 def brute_fingerprints(rows):
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
     out = []

@@ -5,7 +5,8 @@ as it appears.  For each of SKETCHES hash functions the TUPLE pairs (k-mer,
 occurrence) of least hash are taken, put back into the order they have in the
 text, and the tuple of k-mers is hashed to one entry of the fingerprint.  Two texts'
 likeness is the share of entries they have in common; it falls with their edit
-distance, as moved passages change the order.
+distance, as moved passages change the order.  A likeness p has a standard error
+of sqrt(p (1 - p) / SKETCHES): 0.03 where p is near 1/9, as for a text half replaced.
 
 A text shorter than K code points is one k-mer as a whole; with fewer than TUPLE k-mers all
 are taken.  NULL and empty texts have the fingerprint of no k-mer.  Equal texts
@@ -22,9 +23,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import partitions, small_batches
 
-K, TUPLE, SKETCHES = 5, 2, 24
-#: Elements of the matrix of hashes held at a time; longer texts are taken in stretches.
-CELLS = 4_000_000
+K, TUPLE, SKETCHES = 5, 2, 128
+#: Elements of the matrix of hashes held at a time, which fit a core's cache; longer texts are taken in stretches.
+CELLS = 1 << 18
 
 
 def fingerprint(text: str | None):
@@ -50,20 +51,7 @@ def fingerprint(text: str | None):
     nth[by] = at - np.maximum.accumulate(np.where(first, at, 0))
     pair = (gram + nth * np.uint64(0xC2B2AE3D27D4EB4F)) * mix
     pair ^= pair >> np.uint64(31)
-    take = min(TUPLE, n)
-    rows = np.arange(SKETCHES)
-    least = np.empty((SKETCHES, 0), dtype=np.uint64)
-    where = np.empty((SKETCHES, 0), dtype=np.int64)
-    step = max(take, CELLS // SKETCHES)
-    for lo in range(0, n, step):
-        h = pair[None, lo : lo + step] * odd[:, None]
-        h ^= h >> np.uint64(32)
-        for _ in range(min(take, h.shape[1])):
-            j = h.argmin(axis=1)
-            least, where = np.column_stack([least, h[rows, j]]), np.column_stack([where, j + lo])
-            h[rows, j] = np.uint64(0xFFFFFFFFFFFFFFFF)
-        best = np.argsort(least, axis=1, kind="stable")[:, :take]
-        least, where = np.take_along_axis(least, best, 1), np.take_along_axis(where, best, 1)
+    where = _least(pair, odd, min(TUPLE, n))
     out = odd.copy()
     for g in gram[np.sort(where, axis=1)].T:  # in the order of the text
         out = (out ^ g) * mix
@@ -71,6 +59,36 @@ def fingerprint(text: str | None):
     return (out >> np.uint64(32)).astype(np.uint32)
 
 
+def _least(pair, odd, take: int):
+    """Places of the ``take`` pairs of least hash (ties: the first), for each hash function.
+
+    A hash is a product whose lower half is mixed with its upper, so products
+    order pairs as hashes do unless upper halves are equal; then hashes are made.
+    """
+    import numpy as np
+
+    n, half = len(pair), np.uint64(32)
+    more = min(take + 1, n)  # one more, to see whether the last taken is clearly less
+    rows = np.arange(len(odd))
+    least = np.empty((len(odd), 0), dtype=np.uint64)
+    where = np.empty((len(odd), 0), dtype=np.int64)
+    step = max(more, CELLS // len(odd))
+    for lo in range(0, n, step):
+        x = pair[None, lo : lo + step] * odd[:, None]
+        for _ in range(min(more, x.shape[1])):
+            j = x.argmin(axis=1)
+            least, where = np.column_stack([least, x[rows, j]]), np.column_stack([where, j + lo])
+            x[rows, j] = np.uint64(0xFFFFFFFFFFFFFFFF)
+        if least.shape[1] > more:
+            best = np.argsort(least, axis=1, kind="stable")[:, :more]
+            least, where = np.take_along_axis(least, best, 1), np.take_along_axis(where, best, 1)
+    if more > take:
+        for r in np.flatnonzero(least[:, take - 1] >> half == least[:, take] >> half).tolist():
+            h = pair * odd[r]
+            where[r, :take] = np.argsort(h ^ (h >> half), kind="stable")[:take]
+    return where[:, :take]
+
+
 def likeness(a, b) -> float:
     return float((a == b).mean())
 
