@@ -32,8 +32,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all sequences; a document that is read twice is packed twice."""
-    pieces = packing.pack(docs, added=True)
+    """The pieces of all sequences, in training order; a document that is read twice is packed twice."""
+    readings = mixing.with_positions(docs.select("doc_id", "text", "source"), "position")
+    pieces = packing.pack(readings, added=True, order="position")
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

@@ -313,3 +313,28 @@ def test_pipeline(spark, sf):
         docs = after
     pieces = corpus_pipeline.run(spark, sf).collect()
     assert {r["doc_id"] for r in pieces} == {r["doc_id"] for r in docs.collect()}
+
+
+def test_packed_sequences_follow_the_training_order(spark, monkeypatch):
+    import corpus_pipeline
+
+    rows = [(i, f"{'ab'[i % 2]}{i} " + "some words of a text " * 12, "ab"[i % 2]) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+    def packed():
+        readings = mixing.in_training_order(docs)
+        at = defaultdict(list)
+        for r in mixing.with_positions(readings).collect():
+            at[r["doc_id"]].append(r["position"])
+        pieces = corpus_pipeline.pack_sequences(spark, readings, "").collect()
+        assert {d: len(x) for d, x in at.items()} == Counter(r["doc_id"] for r in pieces if r["start"] == 0)
+        wanted = {(r["doc_id"], r["position"]) for r in mixing.mix(docs).collect() if r["doc_id"] in at}
+        assert max(abs(min(at[d]) - p) for d, p in wanted) < 0.02
+        once = sorted((r["sequence_id"], r["offset"], r["doc_id"]) for r in pieces if r["start"] == 0 and len(at[r["doc_id"]]) == 1)
+        every = [r["doc_id"] % 2 for r in sorted(pieces, key=lambda r: (r["sequence_id"], r["offset"]))]
+        return [at[d][0] for *_, d in once], sum(d == 0 for d in every[: len(every) // 2]) / every.count(0)
+
+    places, early = packed()
+    assert np.corrcoef(places, np.arange(len(places)))[0, 1] > 0.9
+    monkeypatch.setattr(mixing, "SCHEDULES", ((0.1, 0.1, 3.0), (3.0, 0.1, 0.1), (1.0, 1.0, 1.0)))
+    assert packed()[1] < 0.4 < 0.55 < early  # the share of source a that is read in the first half

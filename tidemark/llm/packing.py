@@ -9,6 +9,10 @@ the windows still open are closed: their pieces are strung together and cut at
 every window's end, and what is left is cut into sequences whose lengths are
 powers of two, which need no padding.
 
+With ``order``, a column, documents are dealt by ranges of it and arrive in its
+order instead, and sequences are numbered as they are filled, those of an earlier
+range first.  Equal values are ordered by doc_id and text.
+
 NULL and empty texts are one end id; a NULL doc_id sorts first; equal doc_ids
 are ordered by text and packed each by itself; other columns are ignored; an
 empty table gives no piece.  Memory in a task is its open windows: about one a
@@ -80,11 +84,12 @@ class Levels:
                     now = []
 
 
-def pack(docs: DataFrame, window: int = 1024, tokenizer: str | None = None, end_id: int = 0, added: bool = False) -> DataFrame:
+def pack(docs: DataFrame, window: int = 1024, tokenizer: str | None = None, end_id: int = 0, added: bool = False, order: str | None = None) -> DataFrame:
     """Pieces of ``docs`` (doc_id, text): where each lies in its document and in its sequence, and its ids."""
     spark = docs.sparkSession
     small_batches(spark)
     path, parts = tokenizer or default_path(), partitions(spark)
+    ranged = order is not None
 
     def run(batches):
         import numpy as np
@@ -100,7 +105,7 @@ def pack(docs: DataFrame, window: int = 1024, tokenizer: str | None = None, end_
             nonlocal made
             offset = 0
             for doc, start, ids, total in pieces:
-                rows.append((doc, start, len(ids), total, made * parts + part, offset, ids.tobytes()))
+                rows.append((doc, start, len(ids), total, (part << 40) + made if ranged else made * parts + part, offset, ids.tobytes()))
                 offset += len(ids)
             made += 1
 
@@ -126,9 +131,7 @@ def pack(docs: DataFrame, window: int = 1024, tokenizer: str | None = None, end_
         if rows:
             yield flush()
 
-    dealt = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .repartitionByRange(parts, "doc_id")
-        .sortWithinPartitions("doc_id", "text")
-    )
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *([F.col(order).alias("_order")] if ranged else []))
+    by = ["_order", "doc_id"] if ranged else ["doc_id"]
+    dealt = given.repartitionByRange(parts, *by).sortWithinPartitions(*by, "text").select("doc_id", "text")
     return dealt.mapInArrow(run, PIECES)
