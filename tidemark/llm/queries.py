@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, langid, mixing, ngram_join, order_minhash, packing, pii, sharding, token_binary, token_counts
+from tidemark.llm import byte_bpe, exact_dedup, hard_negatives, langid, mixing, ngram_join, order_minhash, packing, pii, sharding, token_binary, token_counts
 from tidemark.llm.common import scratch_root
 
 
@@ -75,9 +75,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, pii.KINDS), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = byte_bpe.decimal_sha256(byte_bpe.encode(documents(spark, sf_dir)))
+    back = byte_bpe.decode(ids)
+    return back.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_token_counts, op2_token_binary, op3_exact_dedup, op4_ngram_join, op5_byte_shards, op6_mixing, op7_language_id, op8_packing, op9_order_minhash, op10_pii)
+    for f in (op1_token_counts, op2_token_binary, op3_exact_dedup, op4_ngram_join, op5_byte_shards, op6_mixing, op7_language_id, op8_packing, op9_order_minhash, op10_pii, op12_byte_bpe, op13_hard_negatives)
 }
 
 #: Texts without white space, in DuckDB.
