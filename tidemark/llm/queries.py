@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, exact_dedup, hard_negatives, langid, mixing, ngram_join, order_minhash, packing, pii, sharding, token_binary, token_counts
+from tidemark.llm import byte_bpe, chat_repair, exact_dedup, hard_negatives, langid, mixing, ngram_join, order_minhash, packing, pii, sharding, token_binary, token_counts
 from tidemark.llm.common import scratch_root
 
 
@@ -75,6 +75,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, pii.KINDS), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
+def op11_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged, copies = chat_repair.damage(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return chat_repair.repaired_hashes(damaged, copies)
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = byte_bpe.decimal_sha256(byte_bpe.encode(documents(spark, sf_dir)))
     back = byte_bpe.decode(ids)
@@ -89,7 +94,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_token_counts, op2_token_binary, op3_exact_dedup, op4_ngram_join, op5_byte_shards, op6_mixing, op7_language_id, op8_packing, op9_order_minhash, op10_pii, op12_byte_bpe, op13_hard_negatives)
+    for f in (op1_token_counts, op2_token_binary, op3_exact_dedup, op4_ngram_join, op5_byte_shards, op6_mixing, op7_language_id, op8_packing, op9_order_minhash, op10_pii, op11_chat_repair, op12_byte_bpe, op13_hard_negatives)
 }
 
 #: Texts without white space, in DuckDB.
