@@ -1,11 +1,11 @@
 """Operator 12: byte-level BPE by DuckDB recursive queries, one connection in each partition.
 
 Encoding.  The split pattern cuts a text into words.  Words not met before
-become token-position rows (word, pos, id), one a byte.  ``CONTRACT`` joins
-neighbouring rows with the merge table (every split of every vocabulary entry
-into two entries, with the rank of the whole) and contracts each word's
-leftmost pair of least rank; the query recurs on its own result until no word
-has a pair left.  A word's answer is remembered in a table of bounded size.
+become token-position rows (word, pos, id), one a byte, that also name the rows
+before and after.  ``CONTRACT`` joins the pairs of neighbours with the merge table (every
+split of every vocabulary entry into two entries, with the rank of the whole) and
+contracts each word's leftmost pair of least rank; the query recurs on its own result
+until no word has a pair left.  A word's answer is remembered in a table of bounded size.
 
 Decoding.  Token rows (block, pos, id) join the vocabulary and an ordered
 aggregation puts their bytes together.
@@ -38,25 +38,30 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import small_batches
 
 #: Characters of text, and tokens, handled at a time.
-BLOCK, TOKENS = 1_000_000, 1 << 18
-#: Words remembered by a worker, and rows that one recursive query may make.
-KNOWN, ROWS = 200_000, 4_000_000
+BLOCK, TOKENS = 2_000_000, 1 << 18
+#: Words remembered by a worker (some 250 bytes each), and rows that one recursive query may make.
+KNOWN, ROWS = 500_000, 4_000_000
 #: Bytes from which on a word's equal pairs are contracted together.
 LONG = 128
 
 CONTRACT = """
 with recursive t as (
-  select word, pos, id, false as done, 0 as step from given
+  select word, pos, id, after, after_id, before, false as done, 0 as step from given
   union all
-  (with p as (
-     select word, pos, id, step, lead(id) over w as nxt, lag(pos) over w as prev
-     from t where not done and step < $steps window w as (partition by word order by pos)),
-   least as (select word, min(new << 32 | pos) as best from p join merges on pair = (id << 32 | nxt) group by word)
-   select word, pos, case when pos = best & 4294967295 then best >> 32 else id end, best is null, step + 1
-   from p left join least using (word)
-   where best is null or prev is distinct from best & 4294967295)
+  (with least as (
+     select word, min(new::bigint << 32 | pos) as best from t join merges on pair = (id::bigint << 32 | after_id)
+     where not done and step < $steps group by word),
+   hits as (  -- the pair's first row, its new id, and the row that goes
+     select word, (best & 4294967295)::integer as hit, (best >> 32)::integer as new, t.pos as gone, t.after as next, t.after_id as next_id
+     from least join t using (word) where t.before = (best & 4294967295) and not done)
+   select word, pos, case when pos = hit then new else id end,
+     case when pos = hit then next else after end,
+     case when pos = hit then next_id when after = hit then new else after_id end,
+     case when before = gone then hit else before end, hit is null, step + 1
+   from t left join hits using (word)
+   where not done and step < $steps and (hit is null or pos <> gone))
 )
-select word, pos, id, done from t where done or step = $steps order by word, pos
+select word, pos, id, after, after_id, before, done from t where done or step = $steps order by word, pos
 """
 
 CONTRACT_LONG = """
@@ -66,7 +71,7 @@ with recursive t as (
   (with p as (
      select word, pos, id, step, lead(id) over w as nxt, lag(pos) over w as prev, row_number() over w as place
      from t where not done and step < $steps window w as (partition by word order by pos)),
-   pairs as (select word, pos, place, new, alone, min(new << 32 | pos) over (partition by word) as best from p join merges on pair = (id << 32 | nxt)),
+   pairs as (select word, pos, place, new, alone, min(new::bigint << 32 | pos) over (partition by word) as best from p join merges on pair = (id::bigint << 32 | nxt)),
    turns as (
      select word, pos, new, place - row_number() over (partition by word order by place) as run
      from pairs where new = best >> 32 and (not alone or pos = best & 4294967295)),
@@ -80,7 +85,7 @@ with recursive t as (
 select word, pos, id, done from t where done or step = $steps order by word, pos
 """
 
-DECODE = "select block, unhex(string_agg(hex, '' order by pos)) as bytes from tokens join vocabulary using (id) group by block"
+DECODE = "select block, unhex(string_agg(hex, '' order by pos)) as bytes, count(*) as n from tokens join vocabulary using (id) group by block"
 
 
 def default_path() -> str:
@@ -130,10 +135,17 @@ def splitter(pattern: str):
     if not odd:
         return plain
     strange, careful = regex.compile(f"[{ranges([ord(c) for c in odd])}]"), regex.compile(exact, flags=regex.V1)
+    latin = min(odd) > "\xff"
 
     class Splitter:
         def pick(self, text):
-            return careful if not text.isascii() and strange.search(text) else plain
+            if text.isascii():
+                return plain
+            try:
+                text.encode("latin-1")  # a quick way to see that no character is beyond
+                return plain if latin else careful
+            except UnicodeEncodeError:
+                return careful if strange.search(text) else plain
 
         def findall(self, text):
             return self.pick(text).findall(text)
@@ -162,7 +174,7 @@ class Codec:
             least[a], least[b] = min(least.get(a, r), r), min(least.get(b, r), r)
         merges = pa.table({
             "pair": pa.array([a << 32 | b for a, b, _ in splits], pa.int64()),
-            "new": pa.array([r for *_, r in splits], pa.int64()),
+            "new": pa.array([r for *_, r in splits], pa.int32()),
             "alone": [least.get(r, r + 1) <= r for *_, r in splits],  # its contraction may make a pair of lesser rank
         })
         self.db = duckdb.connect(config={"threads": 1, "enable_external_access": False})
@@ -179,14 +191,20 @@ class Codec:
         self.db.unregister("_given")
 
     def rows(self, words: list[bytes]):
-        np = self.np
+        """Token-position rows, one a byte; -1 stands for no neighbour."""
+        np, pa = self.np, self.pa
         sizes = np.array([len(w) for w in words], dtype=np.int64)
         ids = self.byte[np.frombuffer(b"".join(words), np.uint8)]
         word = np.repeat(np.arange(len(words)), sizes)
-        return self.pa.table({"word": word, "pos": np.arange(len(ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes), "id": ids})
-
-    def contract(self, words: list[bytes], long: bool) -> list[list[int]]:
-        """The ids of each of these words by the merge table alone."""
+        ends = np.cumsum(sizes)
+        pos = np.arange(len(ids)) - np.repeat(ends - sizes, sizes)
+        after, after_id = pos + 1, np.append(ids[1:], -1)
+        after[ends - 1] = after_id[ends - 1] = -1
+        columns = {"word": word, "pos": pos, "id": ids, "after": after, "after_id": after_id, "before": pos - 1}
+        return pa.table({n: pa.array(c, pa.int32()) for n, c in columns.items()})
+
+    def contract(self, words: list[bytes], long: bool) -> list[bytes]:
+        """The ids of each of these words by the merge table alone, as little-endian unsigned 32-bit integers."""
         np, pa = self.np, self.pa
         state, done = self.rows(words), []
         while state.num_rows:
@@ -194,26 +212,24 @@ class Codec:
             steps = max(1, ROWS // state.num_rows)
             out = self.db.sql((CONTRACT_LONG if long else CONTRACT).replace("$steps", str(steps))).to_arrow_table()
             done.append(out.filter(out["done"]))
-            state = out.filter(pa.compute.invert(out["done"])).select(["word", "pos", "id"])
+            state = out.filter(pa.compute.invert(out["done"])).drop_columns(["done"])
         word, pos, ids = (np.concatenate([t[c].to_numpy() for t in done]) for c in ("word", "pos", "id"))
         if len(done) > 1:
             order = np.lexsort((pos, word))
             word, ids = word[order], ids[order]
-        ends = np.cumsum(np.bincount(word, minlength=len(words))).tolist()
-        ids = ids.tolist()
-        return [ids[a:b] for a, b in zip([0, *ends], ends)]
+        ends = (4 * np.cumsum(np.bincount(word, minlength=len(words)))).tolist()
+        flat = ids.astype("<u4").tobytes()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
     def learn(self, words: set[str]) -> None:
         """Answers for words not met before."""
         if len(self.known) > KNOWN:
             self.known.clear()
         new, short, room = [], [], ROWS
-        for w in words:
-            if w in self.known:
-                continue
+        for w in words - self.known.keys():
             b = w.encode()
             if (r := self.ranks.get(b)) is not None:
-                self.known[w] = [r]
+                self.known[w] = r.to_bytes(4, "little")
             elif len(b) > LONG:
                 new.append(([w], [b], True))
             else:
@@ -237,15 +253,13 @@ class Codec:
             yield block
 
     def encode(self, texts: list[str | None]):
-        """The ids of each text, as arrays of unsigned 32-bit integers."""
-        np = self.np
+        """The ids of each text, as little-endian unsigned 32-bit integers."""
         group, chars = [], 0
 
         def answers():
             split = [self.words.findall(t) for t in group]
-            need = set(chain.from_iterable(split))
-            self.learn(need)
-            return [np.fromiter(chain.from_iterable(map(self.known.__getitem__, w)), np.uint32) for w in split]
+            self.learn(set(chain.from_iterable(split)))
+            return [b"".join(map(self.known.__getitem__, w)) for w in split]
 
         for t in texts:
             t = t or ""
@@ -254,8 +268,8 @@ class Codec:
                 group, chars, parts = [], 0, []
                 for words in self.blocks(t):
                     self.learn(set(words))
-                    parts.append(np.fromiter(chain.from_iterable(map(self.known.__getitem__, words)), np.uint32))
-                yield np.concatenate(parts)
+                    parts.append(b"".join(map(self.known.__getitem__, words)))
+                yield b"".join(parts)
                 continue
             group.append(t)
             chars += len(t)
@@ -264,29 +278,34 @@ class Codec:
                 group, chars = [], 0
         yield from answers()
 
-    def decode(self, tokens: list):
-        """The bytes of each array of ids."""
+    def decode(self, tokens: list[bytes]):
+        """The bytes of each text's ids; an id outside the vocabulary is an error."""
         np = self.np
-        out = [[] for _ in tokens]
+        out: list[list[bytes]] = [[] for _ in tokens]
         held, count = [], 0
 
         def joined():
-            doc, ids = [d for d, _ in held], [i for _, i in held]
-            flat = np.concatenate(ids).astype(np.int64) if ids else np.zeros(0, np.int64)
-            block = np.repeat(np.arange(len(ids)), [len(i) for i in ids])
-            self.put("tokens", self.pa.table({"block": block, "pos": np.arange(len(flat)), "id": flat}))
-            for b, text in sorted(self.db.execute(DECODE).fetchall()):
-                out[doc[b]].append(text)
-            held.clear()
-
-        for d, ids in enumerate(tokens):
-            for at in range(0, len(ids), TOKENS):
-                held.append((d, ids[at : at + TOKENS]))
+            ids = np.frombuffer(b"".join(b for _, b in held), "<u4").astype(np.int64)
+            block = np.repeat(np.arange(len(held)), [len(b) // 4 for _, b in held])
+            self.put("tokens", self.pa.table({"block": block, "pos": np.arange(len(ids)), "id": ids}))
+            for b, text, n in sorted(self.db.execute(DECODE).fetchall()):
+                if 4 * n != len(held[b][1]):
+                    raise ValueError("an id is not in the vocabulary")
+                out[held[b][0]].append(text)
+                done[b] = True
+            if not all(done[: len(held)]):
+                raise ValueError("an id is not in the vocabulary")
+
+        for d, b in enumerate(tokens):
+            for at in range(0, len(b), 4 * TOKENS):
+                held.append((d, b[at : at + 4 * TOKENS]))
                 count += len(held[-1][1])
-                if count >= TOKENS:
+                if count >= 4 * TOKENS:
+                    done = [False] * len(held)
                     joined()
-                    count = 0
+                    held, count = [], 0
         if held:
+            done = [False] * len(held)
             joined()
         return [b"".join(parts) for parts in out]
 
@@ -296,62 +315,53 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """doc_id and the ids of every whole text, as little-endian unsigned 32-bit integers."""
+def decimal_sha256(ids: bytes) -> str:
+    """The hash of the decimal ids joined by commas, block by block."""
+    import hashlib
+
+    import numpy as np
+
+    sha = hashlib.sha256()
+    for at in range(0, len(ids), 4 * TOKENS):
+        sha.update(("," if at else "").encode() + ",".join(map(str, np.frombuffer(ids[at : at + 4 * TOKENS], "<u4").tolist())).encode())
+    return sha.hexdigest()
+
+
+CODED = "doc_id long, ids binary, ids_sha256 string, bytes binary"
+
+
+def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None, back: bool = False) -> DataFrame:
+    """doc_id, the ids of every whole text as little-endian unsigned 32-bit integers, and the hash of their decimals.
+
+    With ``back`` the ids are decoded in the same task: ``bytes`` is what they stand for.
+    """
     small_batches(docs.sparkSession)
     path, pattern = path or default_path(), pattern or default_pattern()
+    names = [f.split()[0] for f in CODED.split(", ")][: 4 if back else 3]
 
     def run(batches):
         import pyarrow as pa
 
         own = codec(path, pattern)
         for batch in batches:
-            ids = [i.astype("<u4").tobytes() for i in own.encode(batch.column("text").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            ids = list(own.encode(batch.column("text").to_pylist()))
+            columns = [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(map(decimal_sha256, ids), pa.string())]
+            yield pa.RecordBatch.from_arrays(columns + ([pa.array(own.decode(ids), pa.binary())] if back else []), names)
 
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return given.mapInArrow(run, "doc_id long, ids binary")
+    return given.mapInArrow(run, CODED if back else CODED.rsplit(", ", 1)[0])
 
 
 def decode(tokens: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """``tokens`` with a column ``bytes``: what the ``ids`` stand for; an id outside the vocabulary is an error."""
+    """doc_id and ``bytes``, what the ``ids`` of ``tokens`` stand for; NULL ids are none."""
     path, pattern = path or default_path(), pattern or default_pattern()
 
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
         own = codec(path, pattern)
-        known = np.fromiter(own.ranks.values(), np.int64)
         for batch in batches:
-            ids = [np.frombuffer(b or b"", "<u4") for b in batch.column("ids").to_pylist()]
-            if not np.isin(np.unique(np.concatenate(ids)), known).all():
-                raise ValueError("an id is not in the vocabulary")
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own.decode(ids), pa.binary())], [*batch.schema.names, "bytes"])
-
-    return tokens.mapInArrow(run, f"{_ddl(tokens)}, bytes binary")
-
-
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+            found = own.decode([b or b"" for b in batch.column("ids").to_pylist()])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "bytes"])
 
-
-def decimal_sha256(tokens: DataFrame) -> DataFrame:
-    """``tokens`` with ``ids_sha256``, the hash of the decimal ids joined by commas, computed block by block."""
-
-    def run(batches):
-        import hashlib
-
-        import numpy as np
-        import pyarrow as pa
-
-        for batch in batches:
-            sums = []
-            for b in batch.column("ids").to_pylist():
-                ids, sha = np.frombuffer(b or b"", "<u4"), hashlib.sha256()
-                for at in range(0, len(ids), TOKENS):
-                    sha.update(("," if at else "").encode() + ",".join(map(str, ids[at : at + TOKENS].tolist())).encode())
-                sums.append(sha.hexdigest())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums)], [*batch.schema.names, "ids_sha256"])
-
-    return tokens.mapInArrow(run, f"{_ddl(tokens)}, ids_sha256 string")
+    return tokens.select("doc_id", "ids").mapInArrow(run, "doc_id long, bytes binary")

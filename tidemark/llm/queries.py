@@ -81,9 +81,8 @@ def op11_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = byte_bpe.decimal_sha256(byte_bpe.encode(documents(spark, sf_dir)))
-    back = byte_bpe.decode(ids)
-    return back.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
+    coded = byte_bpe.encode(documents(spark, sf_dir), back=True)
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
