@@ -207,3 +207,55 @@ def test_routing_null_entity_raises(spark):
     df = spark.createDataFrame([(1, None)], "id int, _entity_type string")
     with pytest.raises(Exception, match="not supported: NULL"):
         routing.route(df).collect()
+
+
+def test_first_lines_of_each_file(spark, tmp_path):
+    """Line numbers are those of the file, for gzip files read together and for a plain file read in blocks."""
+    for n in ("b", "a"):
+        _gz(tmp_path / f"{n}.json.gz", [f'{{"id": {i}}}' for i in range(50)])
+    got = exports.read_export_lines(spark, str(tmp_path), ID_SCHEMA, limit=3, spread=True).collect()
+    assert sorted(r.id for r in got) == [0, 0, 1, 1, 2, 2]
+    plain = tmp_path / "plain"
+    plain.mkdir()
+    (plain / "x.json").write_text("".join(f'{{"id": {i}}}\n' + "\n" * (i % 3 == 0) for i in range(5000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        lines = exports.number_lines(spark, str(plain))
+        assert lines.rdd.getNumPartitions() > 1
+        text = (plain / "x.json").read_text().splitlines()
+        assert {(r.line, r.value) for r in lines.collect()} == set(enumerate(text, 1))
+        assert sorted(r.id for r in exports.read_export_lines(spark, str(plain), ID_SCHEMA, limit=10).collect()) == [0, 1, 2, 3, 4, 5, 6, 7][: sum(bool(t) for t in text[:10])]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_bad_line_among_the_first_raises(spark, tmp_path):
+    p = _gz(tmp_path / "bad.json.gz", ['{"id": 1}', "junk", '{"id": 2}'])
+    with pytest.raises(Exception, match="MALFORMED"):
+        exports.read_export_lines(spark, p, ID_SCHEMA, limit=2).collect()
+    assert [r.id for r in exports.read_export_lines(spark, p, ID_SCHEMA, limit=1).collect()] == [1]
+
+
+def test_iso_detection_over_loads_is_that_of_one_pass(spark, tmp_path):
+    table = str(tmp_path / "raw")
+    load = lambda rows: spark.createDataFrame(rows, "a string, b string, c string")
+    loads = [load([("2024-01-01T10:00:00", "2024-01-01T10:00:00Z", None)]), load([("x", "2024-01-02 11:00", None), (None, None, "2024-01-01T00:00:00")])]
+    whole = loads[0].unionByName(loads[1])
+    first = rawload.count_iso_load(spark, table, "1", loads[0], ["a", "b"])
+    assert rawload.iso_columns(first) == ["a", "b"]
+    for _ in range(2):  # the second load, and its rerun
+        rawload.count_iso_load(spark, table, "2", loads[1], ["a", "b", "c"])
+    promoted = rawload.read_promoted(spark, table, whole)
+    assert dict(promoted.dtypes) == dict(rawload.promote_iso_timestamps(whole, ["a", "b", "c"]).dtypes) == {"a": "string", "b": "timestamp_ntz", "c": "timestamp_ntz"}
+    assert sorted(map(str, promoted.collect())) == sorted(map(str, rawload.promote_iso_timestamps(whole, ["a", "b", "c"]).collect()))
+    assert dict(rawload.read_promoted(spark, table, whole, pinned=["b"]).dtypes)["b"] == "string"
+
+
+def test_descriptions_are_kept_with_written_tables(spark, tmp_path):
+    for table, columns in schemas.RAW_TABLES.items():
+        assert set(catalog.notes(table)) >= {c for c, _ in columns} and catalog.TABLE_DESCRIPTIONS[table]
+    df = spark.createDataFrame([], schemas.struct_of(schemas.TMDB_MOVIES))
+    catalog.described(df, "tmdb_movies").write.parquet(str(tmp_path / "t"))
+    back = spark.read.parquet(str(tmp_path / "t")).schema
+    assert all(f.metadata["comment"] == catalog.notes("tmdb_movies")[f.name] for f in back.fields)

@@ -1,17 +1,21 @@
-"""A daily run: newly landed files appended to raw, then one build.
+"""A daily run: ingest, then one build.
 
-The reference's daily flow is an ingest step followed by a build.  Here the
-ingest is the landing stream (each new file loaded once, nested objects
-flattened, lists kept as JSON text) and the build is ``plans.build.build``.
+``daily_flow`` is the reference's: the ingest flows over the landed exports, listing pages
+and detail responses (``plans.ingest``), each a committed load, then
+``plans.build.build`` over the committed loads, of which it reads the new ones only.
+``daily_run`` builds from complete records instead: the landing stream appends each
+new file once (nested objects flattened, lists kept as JSON text).
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans import build as builds
-from tidemark.plans import storage
-from tidemark.sources import schemas
+from tidemark.plans import ingest, storage
+from tidemark.sources import changes, loads, schemas
 from tidemark.sources.rawload import apply_schema
 from tidemark.streaming.landing_stream import append_new_exports
 
@@ -45,3 +49,25 @@ def daily_run(spark: SparkSession, landing: dict[str, str], root: str, run_date,
         )
     raw = {name: raw_table(spark, root, name) for name in RAW}
     return builds.build(spark, raw, root, run_date, n_buckets=n_buckets)
+
+
+def daily_flow(spark: SparkSession, landing: dict[str, dict[str, tuple[str, str]]], root: str, run_date, load_id: str,
+               start=None, end=None, n_buckets: int = 64, strict: bool = False, **how) -> dict[str, DataFrame]:
+    """One day: ``landing["exports"][entity]`` is (ids, details) and ``landing["changes"][entity]``
+    (listing pages, details), all of them folders; the marts, built from every committed load.
+
+    The window of changes is by default the day before ``run_date``.  Run again under its
+    ``load_id``, a day does what it had not finished: committed loads stay as they are, and
+    the build reads no load twice."""
+    first, last = changes.default_window(_date(run_date), start and _date(start), end and _date(end))
+    raw_root = f"{root}/raw"
+    for entity, (ids, details) in landing.get("exports", {}).items():
+        ingest.ingest_export(spark, ids, details, entity, raw_root, load_id, strict=strict)
+    for entity, (listed, details) in landing.get("changes", {}).items():
+        ingest.ingest_changes(spark, listed, details, entity, first, last, raw_root, load_id, strict=strict)
+    raw, landed = loads.read_raw(spark, raw_root)
+    return builds.build(spark, raw, root, run_date, n_buckets=n_buckets, landed=landed, **how)
+
+
+def _date(d) -> dt.date:
+    return d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d))

@@ -2,24 +2,28 @@
 
 Daily export: export ids (gzip JSON lines) -> entity tag -> join with the
 landed detail responses (404 skipped, other errors fail) -> nested objects
-flattened -> typed -> stamped -> appended to ``tmdb_<entity>s``.
+flattened -> typed -> stamped -> ``tmdb_<entity>s``.
 
-Changes: landed listing pages in a date window -> items -> ids appended to
+Changes: landed listing pages in a date window -> items -> ids for
 ``ids_<entity>s_changes`` -> joined with landed details -> flattened, typed,
-stamped -> appended to ``<entity>_changes``.
+stamped -> ``<entity>_changes``.
 
-Each run appends one load and its ledger row; nothing is collected.
+Each run is one load, staged and then committed with its ledger rows
+(``sources.loads``): row counts, pages that failed or never landed, and the
+violations of the declared constraints, row ids compared with those of all
+earlier loads (``plans.rowids``).  A run that died is run again and
+replaces what it left; a committed one is not.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from tidemark.sources import changes, enrich, exports, pages, rawload, routing, schemas
+from tidemark.operators import checks
+from tidemark.plans import rowids
+from tidemark.sources import catalog, changes, enrich, exports, loads, pages, rawload, routing, schemas
 
 ID_SCHEMA = StructType([StructField("id", LongType(), True)])
 HTTP_STATUS = "http_status"
@@ -41,45 +45,58 @@ def _typed(found: DataFrame, columns) -> DataFrame:
     return rawload.apply_schema(rawload.flatten_nested(found), columns, keep_extra=False)
 
 
-def _append(df: DataFrame, path: str, ledger_root: str, schema_name: str, load_id: str) -> None:
-    df.write.mode("append").parquet(path)
-    written = df.sparkSession.read.schema(df.schema).parquet(path)
-    _record(written.filter(F.col(rawload.LOAD_ID) == load_id), df, ledger_root, schema_name)
+def _violations(spark: SparkSession, root: str, table: str, load_id: str, strict: bool) -> int:
+    """Declared constraints (A16) of a staged load: NULLs, and row ids that repeat in it or in earlier loads."""
+    schema = schemas.struct_of(schemas.RAW_TABLES[table])
+    rows = loads.staged(spark, root, table, load_id, schema)
+    nulls = checks.constraint_report(rows, table, not_null=schemas.NOT_NULL).agg(F.sum("violations")).first()[0] or 0
+    index = f"{root}/_row_ids/{table}"
+    found = nulls + sum(rowids.repeated_ids(spark, index, load_id, rows, c[0]).count() for c in schemas.UNIQUE)
+    if found and strict:
+        raise ValueError(f"{table}: {found} violations of the declared constraints in load {load_id}")
+    rowids.add_ids(spark, index, load_id, rows, schemas.UNIQUE[0][0])
+    return found
 
 
-def _record(written: DataFrame, df: DataFrame, ledger_root: str, schema_name: str) -> None:
-    """The load's ledger row, counted from the rows as written."""
-    version = hashlib.md5(df.schema.simpleString().encode()).hexdigest()
-    ledger = rawload.load_ledger(written, schema_name, F.current_timestamp(), version)
-    ledger.write.mode("append").parquet(f"{ledger_root}/_dlt_loads")
+def _commit(spark: SparkSession, root: str, load_id: str, flow: str, tables: dict[str, str], strict: bool,
+            gaps: DataFrame | None = None) -> None:
+    violations = {t: _violations(spark, root, t, load_id, strict) for t in tables}
+    described = {t: (schemas.struct_of(schemas.RAW_TABLES[t]), name) for t, name in tables.items()}
+    loads.commit(spark, root, load_id, flow, described, gaps, violations)
 
 
 def ingest_export(spark: SparkSession, export_path: str, details_path: str, entity: str,
-                  raw_root: str, load_id: str, limit: int | None = None) -> None:
-    """§3.1: the daily export of ``entity`` appended to its raw table."""
+                  raw_root: str, load_id: str, limit: int | None = None, strict: bool = False) -> bool:
+    """§3.1: the daily export of ``entity`` as one load of its raw table; False if it is committed already."""
+    flow, tables = f"export_{entity}", [f"{routing.TABLE_PREFIX}{e}s" for e in routing.KNOWN_ENTITIES if e == entity]
+    if not loads.begin(spark, raw_root, load_id, flow, tables):
+        return False
     ids = exports.tag_entity(exports.read_export_lines(spark, export_path, ID_SCHEMA, limit), entity)
     found = enrich.enrich_found(ids, read_details(spark, details_path, entity), key="id", status=HTTP_STATUS)
     typed = _typed(found.withColumn("_entity_type", F.lit(entity))
                    .withColumn(rawload.LOAD_ID, F.lit(load_id)), CONTRACTS[entity][0])
     stamped = rawload.stamp_load(typed.drop(rawload.ROW_ID), load_id, key=["id"])
-    routed = routing.route(stamped)
-    routed.write.mode("append").partitionBy("target_table").parquet(f"{raw_root}/exports")
-    written = spark.read.schema(routed.schema).parquet(f"{raw_root}/exports")
-    mine = (F.col(rawload.LOAD_ID) == load_id) & (F.col("_entity_type") == entity)
-    _record(written.filter(mine), stamped, raw_root, f"export_{entity}")
+    loads.stage(catalog.described(routing.route(stamped), tables[0]), raw_root)
+    _commit(spark, raw_root, load_id, flow, {t: flow for t in tables}, strict)
+    return True
 
 
 def ingest_changes(spark: SparkSession, pages_path: str, details_path: str, entity: str,
-                   start, end, raw_root: str, load_id: str) -> None:
-    """§3.2: changed ids of ``entity`` in [start, end] and their details."""
+                   start, end, raw_root: str, load_id: str, strict: bool = False) -> bool:
+    """§3.2: changed ids of ``entity`` in [start, end] and their details as one load; False if it is committed already."""
+    flow, ids_table, table = f"changes_{entity}", f"ids_{entity}s_changes", f"{entity}_changes"
+    if not loads.begin(spark, raw_root, load_id, flow, [ids_table, table]):
+        return False
     listed = changes.read_change_window(spark, pages_path, start, end)
     items = pages.flatten_pages(listed, listing=["change_date"], position="place")
     # An id may be listed more than once in a load; where it was listed keeps the row ids apart.
     where = ["change_date", "page", "place"]
-    ids = rawload.stamp_load(items.select("id", "adult", *where), load_id, key=["id"]).drop(*where)
-    _append(ids, f"{raw_root}/ids_{entity}s_changes", raw_root, f"ids_{entity}s_changes", load_id)
+    named = rawload.stamp_load(items.select("id", "adult", *where), load_id, key=["id"]).drop(*where)
+    loads.stage(catalog.described(named, ids_table), raw_root, ids_table)
+    ids = loads.staged(spark, raw_root, ids_table, load_id, schemas.struct_of(schemas.IDS_CHANGES))
     found = enrich.enrich_found(ids, read_details(spark, details_path, entity), key="id", status=HTTP_STATUS)
-    columns = CONTRACTS[entity][1]
-    typed = _typed(found.withColumn(rawload.LOAD_ID, F.lit(load_id)), columns)
-    stamped = rawload.stamp_load(typed.drop(rawload.ROW_ID), load_id, key=["id"])
-    _append(stamped, f"{raw_root}/{entity}_changes", raw_root, f"{entity}_changes", load_id)
+    typed = _typed(found.withColumn(rawload.LOAD_ID, F.lit(load_id)), CONTRACTS[entity][1])
+    loads.stage(catalog.described(rawload.stamp_load(typed.drop(rawload.ROW_ID), load_id, key=["id"]), table), raw_root, table)
+    gaps = pages.gap_counts(pages.page_gaps(listed, ["change_date"]))
+    _commit(spark, raw_root, load_id, flow, {ids_table: ids_table, table: table}, strict, gaps)
+    return True

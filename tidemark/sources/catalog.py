@@ -11,26 +11,98 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Descriptions of the raw change-history tables (our own wording).
+LOAD_NOTES = {
+    "_dlt_load_id": "id of the load that landed the row (epoch seconds)",
+    "_dlt_id": "unique id of the landed row",
+    "_entity_type": "entity the export row belongs to",
+}
 RAW_DESCRIPTIONS = {
     "tmdb_movies": {
+        "adult": "whether the movie is for adults only",
+        "backdrop_path": "path of the background image",
+        "belongs_to_collection__id": "id of the series the movie is part of",
+        "belongs_to_collection__name": "name of that series",
+        "belongs_to_collection__poster_path": "path of the series' poster",
+        "belongs_to_collection__backdrop_path": "path of the series' background image",
+        "budget": "production budget",
+        "homepage": "web address of the movie",
         "id": "movie id in the source catalogue",
+        "imdb_id": "movie id in the other catalogue",
+        "original_language": "language code of the original",
+        "original_title": "title in the original language",
         "genres": "JSON list of genres (id, name)",
+        "production_companies": "JSON list of companies",
+        "production_countries": "JSON list of countries",
+        "spoken_languages": "JSON list of languages",
+        "origin_country": "JSON list of country codes",
         "credits": "JSON object with cast and crew lists",
+        "overview": "summary of the plot",
         "popularity": "popularity score on the load day",
-        "_dlt_load_id": "id of the load that landed the row (epoch seconds)",
-        "_dlt_id": "unique id of the landed row",
+        "poster_path": "path of the poster",
+        "release_date": "day of release, as text",
+        "revenue": "revenue so far",
+        "runtime": "length in minutes",
+        "status": "production status",
+        "tagline": "advertising line",
+        "title": "title in the language of the request",
+        "video": "whether the entry is a video",
+        "vote_average": "mean vote on the load day",
+        "vote_count": "number of votes on the load day",
+        **LOAD_NOTES,
     },
     "tmdb_persons": {
+        "adult": "whether the person works in films for adults",
+        "biography": "biography",
+        "birthday": "day of birth, as text",
+        "gender": "code of the gender",
         "id": "person id in the source catalogue",
+        "imdb_id": "person id in the other catalogue",
+        "known_for_department": "department the person is best known for",
+        "name": "name",
         "also_known_as": "JSON list of alternative names",
+        "place_of_birth": "place of birth",
         "popularity": "popularity score on the load day",
-        "_dlt_load_id": "id of the load that landed the row (epoch seconds)",
-        "_dlt_id": "unique id of the landed row",
+        "profile_path": "path of the portrait",
+        "deathday": "day of death, as text",
+        "homepage": "web address of the person",
+        **LOAD_NOTES,
+    },
+    "ids_movies_changes": {
+        "id": "id that a change listing named",
+        "adult": "whether the listing marks it for adults only",
+        **LOAD_NOTES,
     },
+    "_dlt_loads": {
+        "load_id": "id of a committed load (epoch seconds)",
+        "schema_name": "name of the loaded table's schema",
+        "status": "0 for a completed load",
+        "inserted_at": "when the load was committed",
+        "schema_version_hash": "hash of the schema the load was written with",
+    },
+}
+TABLE_DESCRIPTIONS = {
+    "tmdb_movies": "movies of the daily export with their details",
+    "movie_changes": "details of the movies that change listings named",
+    "tmdb_persons": "persons of the daily export with their details",
+    "person_changes": "details of the persons that change listings named",
+    "ids_movies_changes": "movie ids as change listings named them",
+    "ids_persons_changes": "person ids as change listings named them",
+    "_dlt_loads": "one row for each table of a committed load",
 }
 
 # Change tables share the descriptions of their export table.
-DESCRIBED_AS = {"movie_changes": "tmdb_movies", "person_changes": "tmdb_persons"}
+DESCRIBED_AS = {"movie_changes": "tmdb_movies", "person_changes": "tmdb_persons", "ids_persons_changes": "ids_movies_changes"}
+
+
+def notes(table: str) -> dict[str, str]:
+    """The description of each declared column of a raw table."""
+    return RAW_DESCRIPTIONS.get(DESCRIBED_AS.get(table, table), {})
+
+
+def described(df: DataFrame, table: str) -> DataFrame:
+    """``df`` with its columns' descriptions as comments, which Parquet files and catalogs keep."""
+    known = notes(table)
+    return df.select(*[F.col(c).alias(c, metadata={"comment": known[c]}) if c in known else F.col(c) for c in df.columns])
 
 # Descriptions of the driver's lineitem table, used by the catalog query.
 LINEITEM_CATALOG = [
@@ -72,7 +144,6 @@ def raw_catalog(raw: dict[str, DataFrame]) -> DataFrame:
 
     parts = []
     for name, df in raw.items():
-        notes = RAW_DESCRIPTIONS.get(DESCRIBED_AS.get(name, name), {})
-        cols = [(c, spark_type(t), notes.get(c, "")) for c, t in RAW_TABLES[name]]
+        cols = [(c, spark_type(t), notes(name)[c]) for c, t in RAW_TABLES[name]]
         parts.append(describe_source(df, name, cols))
     return reduce(lambda a, b: a.unionByName(b), parts)
