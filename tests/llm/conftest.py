@@ -11,6 +11,17 @@ SCHEMA = T.StructType([
 ])
 
 
+#: Further columns whose names the stages of the pipeline use or have used; each value tells its row.
+CLASHING = ("start", "target", "turn", "source_size", "rejected", "lang_pred", "_text", "_id", "_doc", "_key", "_s", "_h", "row", "h", "o", "at", "last", "id", "lost", "doc", "sha", "_metadata")
+
+
+def with_clashes(df):
+    from pyspark.sql import functions as F
+
+    told = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.lit(":"), F.coalesce(F.xxhash64("text").cast("string"), F.lit("")))
+    return df.select("*", *[F.concat(F.lit(f"{c} of "), told).alias(c) for c in CLASHING])
+
+
 def rows():
     """Nulls in every column, empty, blank and very long texts, ties, repeated rows, copies and near copies."""
     r = random.Random(7)
@@ -41,12 +52,12 @@ def fixture_rows():
 
 @pytest.fixture(scope="session")
 def docs(spark, fixture_rows):
-    return spark.createDataFrame(fixture_rows, SCHEMA).repartition(3)
+    return with_clashes(spark.createDataFrame(fixture_rows, SCHEMA)).repartition(3)
 
 
 @pytest.fixture(scope="session")
 def no_docs(spark):
-    return spark.createDataFrame([], SCHEMA)
+    return with_clashes(spark.createDataFrame([], SCHEMA))
 
 
 @pytest.fixture(scope="session")

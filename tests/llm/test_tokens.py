@@ -135,6 +135,36 @@ def test_levels_take_the_least_sum_of_squares(sizes):
         assert levels.counts[1:16].tolist() == counts[1:16]
 
 
+def test_open_windows_are_bounded():
+    levels, out = packing.Levels(1024), []
+    for i in range(20_000):
+        out += [w] if (w := levels.place((i, 0, np.full(600, i, dtype="<u4"), 600), 600)) else []
+        out += levels.thin()
+        assert max(map(len, levels.open)) <= packing.OPEN + 1
+    assert sum(map(len, levels.open)) <= 64 * packing.OPEN and all(sum(len(p[2]) for p in w) == 1024 for w in out)
+    out += levels.close()
+    got = [p for w in out for p in w]
+    at = {(p[0], p[1]): p[2] for p in got}
+    assert len(at) == len(got) and sum(len(p[2]) for p in got) == 20_000 * 600
+    for i in range(20_000):
+        start = 0
+        while start < 600:
+            assert (at[i, start] == i).all()
+            start += len(at[i, start])
+
+
+def test_a_hot_doc_id_is_dealt_over_tasks(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(i, f"text {i}") for i in range(300)] + [(7, f"{i * 37 % 600:03d} hot text") for i in range(600)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    pieces = packing.pack(table).withColumn("task", F.spark_partition_id())
+    assert check_packing(pieces.collect(), [(d, whole(t) + [0]) for d, t in rows]) == 0
+    assert max(r["count"] for r in pieces.filter("start = 0").groupBy("task").count().collect()) <= 400
+    folder = scratch_root(spark)
+    assert max(r["n_docs"] for r in token_binary.write_tokens(table, folder).collect()) <= 400
+
+
 SPLICES = st.lists(st.tuples(st.integers(0, 900), st.integers(0, 60), st.lists(ALPHABET, max_size=12).map("".join)), max_size=6)
 
 

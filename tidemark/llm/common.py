@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,3 +58,18 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
 def broadcast_if_small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
     """A written table of a few numbers a row, to be broadcast if it has at most ``rows``; else joined by shuffle."""
     return F.broadcast(df) if df.count() <= rows else df
+
+
+def as_row(df: DataFrame, *more) -> DataFrame:
+    """``df`` with its columns in one struct, ``row``, and ``more`` beside it: working names can't clash with a user's."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *more)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of queries that are over.
+
+    It removes a shuffle's files when the driver's collector finds nothing that refers to it,
+    which by default may be half an hour later; a chain of large stages can't wait so long.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

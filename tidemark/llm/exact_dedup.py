@@ -16,8 +16,10 @@ its rows meet their group's few numbers in a join that Spark can split.
 Normalised: every character of ``[\\x20\\x09-\\x0D]`` deleted.  Of equal texts the row with the most
 code points in the original text stays, then the smallest doc_id (NULL last).
 NULL text counts as empty, so NULL, empty and blank texts are one group.
-Repeated rows are each in the result, and one of them is kept.  Other columns
-are ignored; an empty table gives an empty table.
+Repeated rows are each in the result, and one of them is kept.  Very long texts are shuffled
+whole if they are suspects, and otherwise hashed.  Other columns are ignored by
+``exact_duplicates`` and passed on as they are by ``drop_exact_duplicates``; an empty table
+gives an empty table.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import golomb
-from tidemark.llm.common import broadcast_if_small, partitions, scratch_root, small_batches, written
+from tidemark.llm.common import as_row, broadcast_if_small, partitions, scratch_root, small_batches, written
 
 #: Bits of the universe beyond the logarithm of the number of rows: so a row is a false suspect once in 2^16.
 SPARE_BITS = 16
@@ -173,14 +175,15 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     root = scratch_root(docs.sparkSession)
     told = written(exact_duplicates(docs).select("doc_id", "sha", "group_size", "kept"), "told", root)
     mine = told.filter("group_size > 1").groupBy("doc_id", "sha").agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
-    mine = written(mine.select(F.col("doc_id").alias("_id"), F.col("sha").alias("_sha"), "n", "kept"), "mine", root)
-    keyed = docs.withColumns({"_doc": F.col("doc_id").cast("long"), "_text": F.unhex(F.sha2(normalised(F.col("text")), 256))})
-    same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_sha"))
-    lost = broadcast_if_small(written(mine.filter("not kept or n > 1").select("_id", "_sha"), "lost", root))
-    stay = keyed.join(lost, same, "left_anti").select(*docs.columns)
-    twins = mine.filter("kept and n > 1").select("_id", "_sha")
+    mine = written(mine.select(F.col("doc_id").alias("id"), F.col("sha").alias("text_sha"), "n", "kept"), "mine", root)
+    text = F.col("text")
+    keyed = as_row(docs, F.col("doc_id").cast("long").alias("doc"), F.unhex(F.sha2(normalised(text), 256)).alias("sha"), F.coalesce(F.char_length(text), F.lit(0)).alias("chars"))
+    same = F.col("doc").eqNullSafe(F.col("id")) & (F.col("sha") == F.col("text_sha"))
+    lost = broadcast_if_small(written(mine.filter("not kept or n > 1").select("id", "text_sha"), "lost", root))
+    stay = keyed.join(lost, same, "left_anti").select("row.*")
+    twins = mine.filter("kept and n > 1").select("id", "text_sha")
     if twins.isEmpty():
         return stay
-    whole = F.struct((-F.coalesce(F.char_length("text"), F.lit(0))).alias("_fewer"), *docs.columns)
-    one = keyed.join(twins, same).groupBy("_id", "_sha").agg(F.min(whole).alias("r")).select("r.*").drop("_fewer")
+    whole = F.struct((-F.col("chars")).alias("fewer"), "row")
+    one = keyed.join(twins, same).groupBy("id", "text_sha").agg(F.min(whole).alias("first")).select("first.row.*")
     return stay.unionByName(one)

@@ -15,8 +15,10 @@ The sample has at most SAMPLE documents a language, chosen by a hash of doc_id.
 
 NULL text and text without a letter are ``und`` with score 0 and rejected.  Rows
 without lang or doc_id are predicted but not learned from; repeated rows count each time;
-other columns are ignored; an empty table gives an empty table, and where there
-is nothing to learn from, everything is ``und``.
+equal texts get equal answers, and of equal cosines the first centroid, by language, is taken.
+Very long texts are counted in stretches.  Other columns are passed on as they are by
+``accepted``; an empty table gives an empty table, and where there is nothing to learn
+from, everything is ``und``.  More than LANGUAGES different values of lang are an error.
 """
 
 from __future__ import annotations
@@ -24,11 +26,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_batches
+from tidemark.llm.common import as_row, small_batches
 
 DIMS = 4096
 #: Bound of the sample a language's centroids are fitted on.
 SAMPLE = 600
+#: Bound of the languages, each of which has CLUSTERS centroids of DIMS numbers in the model.
+LANGUAGES = 4096
 CLUSTERS, ROUNDS = 4, 8
 #: Chosen on learnable rows outside the sample, and on those of a language that was left out of fitting.
 REJECT, FEWEST, FEW = 4.0, 0.005, 10
@@ -120,6 +124,8 @@ def fit(learn: DataFrame) -> dict:
     df, n = document_frequencies(learn)
     idf = (np.log((1 + n) / (1 + np.array(df))) + 1).astype(np.float32)
     sizes = learn.groupBy("lang").count()
+    if sizes.count() > LANGUAGES:
+        raise ValueError(f"lang has more than {LANGUAGES} values; the model would not fit a driver")
     # the smallest hashes: a threshold that SAMPLE documents a language pass on average, then the bound itself
     h = F.shiftrightunsigned(F.xxhash64("doc_id"), 1).cast("double") / F.lit(2.0**63)
     # one row a language is broadcast (the model, which is collected, has more), so texts outside the sample are never shuffled
@@ -160,7 +166,7 @@ def fit(learn: DataFrame) -> dict:
 
 
 def predict(docs: DataFrame, model: dict) -> DataFrame:
-    """``docs`` (all columns) with lang_pred, score and rejected."""
+    """``docs`` with lang_pred, score and rejected, which take the place of columns of these names."""
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # langs x CLUSTERS x DIMS numbers, whatever the number of documents
@@ -171,7 +177,7 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
 
         m = shared.value
         for batch in batches:
-            x = vectors(batch.column("_text").to_pylist(), m["idf"])
+            x = vectors(batch.column(batch.num_columns - 1).to_pylist(), m["idf"])
             known = (x != 0).any(axis=1)
             if len(m["langs"]):
                 cos = x @ m["centroids"].T
@@ -184,11 +190,12 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
             keep = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*keep, pa.array(lang, pa.string()), pa.array(score), pa.array(rejected)], names=[*batch.schema.names[:-1], "lang_pred", "score", "rejected"])
 
-    given = docs.select(*[F.col(c) for c in docs.columns if c not in ("lang_pred", "score", "rejected")], F.col("text").alias("_text"))
-    kept = given.drop("_text").schema
+    kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score", "rejected")])
+    name = max(("text", *docs.columns), key=len) + "_"  # longer than any other, so not taken
+    given = docs.select(*[F.col(f"`{c}`") for c in kept.columns], F.col("text").cast("string").alias(name))
     from pyspark.sql import types as T
 
-    schema = T.StructType([*kept.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
+    schema = T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
     return given.mapInArrow(run, schema)
 
 
@@ -206,3 +213,9 @@ def learnable(docs: DataFrame) -> DataFrame:
 def identify(docs: DataFrame) -> DataFrame:
     """Fit on the learnable rows, predict every row; see ``predict``."""
     return predict(docs, fit(learnable(docs)))
+
+
+def accepted(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not rejected, with all their columns as they are."""
+    found = predict(as_row(docs, F.col("text").cast("string").alias("text")), fit(learnable(docs)))
+    return found.filter("not rejected").select("row.*")

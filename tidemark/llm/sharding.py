@@ -9,7 +9,8 @@ slots count from the first row it has.
 
 Size: UTF-8 bytes of the text (NULL: none) plus 8.  A NULL doc_id comes first;
 rows with equal doc_id are ordered by their text's checksum, then as read;
-other columns are ignored; an empty table gives an empty table.  A shard's bytes differ
+a very long text is one row, in the shard of its middle byte, which may leave shards
+beside it empty; repeated rows are rows of their own; other columns are ignored; an empty table gives an empty table.  A shard's bytes differ
 from the target by at most one row's size.  Equal texts are not kept together:
 the law is equal bytes, and a hot group may hold more than a shard.
 """

@@ -17,8 +17,8 @@ Edits are splices (start, length, replacement) in code points of the text as it
 was, and are applied from the end.  Positions beyond the text are clipped; a
 NULL replacement is empty; of edits that overlap, the one that begins later
 (then the first by length, then by replacement) holds and the other is counted in ``n_rejected``;
-repeated rows count once.  NULL text counts as empty; a NULL doc_id takes no
-edits; other columns are ignored; an empty table gives an empty table.
+repeated rows count once.  NULL text counts as empty; a very long text is cut into blocks
+at safe points, and its edits still touch a few leaves; a NULL doc_id takes no edits; other columns are ignored; an empty table gives an empty table.
 """
 
 from __future__ import annotations
