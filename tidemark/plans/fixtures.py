@@ -138,6 +138,12 @@ def movie_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         movie.alias("id"), F.col("o_orderpriority").alias("title"),
         F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("popularity"),
         F.col("n_items").alias("vote_count"), "genres", "credits",
+        F.concat(F.lit("tt"), F.col("o_orderkey").cast("string")).alias("imdb_id"),
+        F.concat(F.col("o_orderpriority"), F.lit(" of "), F.col("o_custkey").cast("string")).alias("original_title"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("release_date"), (F.col("part_no") + 60).alias("runtime"),
+        F.lower("o_orderstatus").alias("original_language"), (F.col("o_orderstatus") == "P").alias("adult"),
+        F.col("o_custkey").alias("belongs_to_collection__id"), F.col("o_orderpriority").alias("belongs_to_collection__name"),
+        F.round(F.col("o_totalprice")).cast("bigint").alias("budget"), (F.col("n_items") / 4).alias("vote_average"),
         lid.alias("_dlt_load_id"),
         row_id(lid, movie, F.col("o_orderkey")).alias("_dlt_id"),
     )

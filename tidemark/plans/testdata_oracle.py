@@ -159,18 +159,38 @@ MOVIE_DATED = f"""CAST(v.dbt_valid_from AS DATE), CASE WHEN v.rn = 1 THEN {OPEN_
 NO_DOUBLE = "CAST(NULL AS DOUBLE)"
 P1, P2 = local(repr(fixtures.PERSON_LOAD_1)), local(repr(fixtures.PERSON_LOAD_2))
 
+
+
+def every(*parts: str) -> str:
+    """The hash of further columns of a mart's row."""
+    return "md5(" + " || '|' || ".join(["''", *(f"coalesce(({p})::VARCHAR, '-')" for p in parts)]) + ")"
+
+
+def cents(x: str) -> str:
+    return f"CAST({x} AS DECIMAL(18, 2))"
+
+
+MOVIE_EVERY = every(
+    "v.tmdb_id", "'tt' || o_orderkey::VARCHAR", "o_orderstatus", "o_orderpriority || ' of ' || o_custkey::VARCHAR", "strftime(o_orderdate, '%Y-%m-%d')",
+    "v.part_no + 60", "lower(o_orderstatus)", "NULL", "NULL", "NULL", "NULL", "NULL", "NULL", "NULL", "v.title", "NULL", "o_custkey", "o_orderpriority",
+    "NULL", "NULL", "o_orderstatus = 'P'", "NULL")
+PERSON_EVERY = every(
+    "v.tmdb_id", "NULL", "NULL", "NULL", "NULL", "NULL", "v.name", "NULL", "NULL", cents("v.popularity"), "v.load_id", ts_text("v.dbt_valid_from"),
+    row_id("v.load_id", "v.tmdb_id"), "NULL", "NULL")
+MEASURES_EVERY = every(cents("popularity"), cents("n_items / 4"), "n_items", "CAST(round(o_totalprice) AS BIGINT)", "NULL")
+
 MOVIE_MARTS = f"""
 WITH {MOVIE_SNAPSHOT},
 lines AS (SELECT v.*, t.* EXCLUDE (l_orderkey, part_no) FROM ranked v
           JOIN tagged t ON t.l_orderkey = v.l_orderkey AND t.part_no = v.part_no),
-f1 AS (SELECT {scd('tmdb_id', 'load_date')} AS id, n_items, popularity, CAST(load_date AS DATE) AS day FROM r1),
-f2 AS (SELECT scd_id AS id, n_items, popularity, CAST(dbt_valid_from AS DATE) AS day FROM snap
+f1 AS (SELECT {scd('tmdb_id', 'load_date')} AS id, l_orderkey, n_items, popularity, CAST(load_date AS DATE) AS day FROM r1),
+f2 AS (SELECT scd_id AS id, l_orderkey, n_items, popularity, CAST(dbt_valid_from AS DATE) AS day FROM snap
        WHERE dbt_valid_to IS NULL AND CAST(dbt_valid_from AS DATE) > (SELECT max(day) FROM f1)),
-ppl AS (SELECT c_custkey AS tmdb_id, c_name AS name, c_acctbal AS popularity, {P1} AS dbt_valid_from,
+ppl AS (SELECT c_custkey AS tmdb_id, c_name AS name, c_acctbal AS popularity, '{fixtures.PERSON_LOAD_1}' AS load_id, {P1} AS dbt_valid_from,
                CASE WHEN c_nationkey = 3 THEN {P2} END AS dbt_valid_to, CASE WHEN c_nationkey = 3 THEN 2 ELSE 1 END AS rn
         FROM customer
         UNION ALL
-        SELECT c_custkey, c_name, c_acctbal + 1.0, {P2}, NULL, 1 FROM customer WHERE c_nationkey = 3),
+        SELECT c_custkey, c_name, c_acctbal + 1.0, '{fixtures.PERSON_LOAD_2}', {P2}, NULL, 1 FROM customer WHERE c_nationkey = 3),
 people AS (SELECT *, {scd('tmdb_id', 'dbt_valid_from')} AS scd_id FROM ppl),
 g1 AS (SELECT DISTINCT {BRAND} AS genre_id, p_type FROM r1
        JOIN tagged t ON t.l_orderkey = r1.l_orderkey AND t.part_no = r1.part_no),
@@ -178,25 +198,25 @@ g2 AS (SELECT DISTINCT {BRAND} AS genre_id, p_type FROM r2
        JOIN tagged t ON t.l_orderkey = r2.l_orderkey AND t.part_no = r2.part_no
        WHERE r2.load_date > {ts('1998-01-01 00:00:00')})
 SELECT 'dim_movies' AS mart, v.scd_id AS id, v.tmdb_id::VARCHAR AS ref, v.title AS name, {NO_DOUBLE} AS value,
-       {MOVIE_DATED.replace(", CASE", " AS day, CASE", 1).replace("END,", "END AS until,", 1)} AS is_current
-FROM ranked v
-UNION ALL SELECT 'dim_persons', v.scd_id, v.tmdb_id::VARCHAR, v.name, v.popularity, {MOVIE_DATED} FROM people v
+       {MOVIE_DATED.replace(", CASE", " AS day, CASE", 1).replace("END,", "END AS until,", 1)} AS is_current, {MOVIE_EVERY} AS every
+FROM ranked v JOIN orders o ON o.o_orderkey = v.l_orderkey
+UNION ALL SELECT 'dim_persons', v.scd_id, v.tmdb_id::VARCHAR, v.name, v.popularity, {MOVIE_DATED}, {PERSON_EVERY} FROM people v
 UNION ALL SELECT 'dim_movies_genres', md5(v.scd_id || ({BRAND})::VARCHAR), ({BRAND})::VARCHAR, v.scd_id,
-       1.0::DOUBLE / v.n_items, {MOVIE_DATED} FROM lines v
+       1.0::DOUBLE / v.n_items, {MOVIE_DATED}, {every(ts_text('v.dbt_valid_from'), ts_text('v.dbt_valid_to'))} FROM lines v
 UNION ALL SELECT 'dim_credits', md5(v.scd_id || l_partkey::VARCHAR || c), l_partkey::VARCHAR,
-       c || '|' || l_returnflag || '|Acting|Acting', {NO_DOUBLE}, {MOVIE_DATED}
+       c || '|' || l_returnflag || '|Acting|Acting', {NO_DOUBLE}, {MOVIE_DATED}, {every('v.scd_id', 'v.tmdb_id')}
 FROM (SELECT *, l_orderkey::VARCHAR || '-' || l_linenumber::VARCHAR || '-' || l_partkey::VARCHAR AS c FROM lines) v
 UNION ALL SELECT 'dim_credits', md5(v.scd_id || l_suppkey::VARCHAR || c), l_suppkey::VARCHAR,
-       c || '|-|' || l_linestatus || '|' || l_returnflag || l_linestatus, {NO_DOUBLE}, {MOVIE_DATED}
+       c || '|-|' || l_linestatus || '|' || l_returnflag || l_linestatus, {NO_DOUBLE}, {MOVIE_DATED}, {every('v.scd_id', 'v.tmdb_id')}
 FROM (SELECT *, l_orderkey::VARCHAR || '-' || l_linenumber::VARCHAR || '-' || l_suppkey::VARCHAR AS c FROM lines) v
-UNION ALL SELECT 'dim_genres', NULL, genre_id::VARCHAR, p_type, {NO_DOUBLE}, DATE '1998-01-01', DATE '1998-01-01', 1
+UNION ALL SELECT 'dim_genres', NULL, genre_id::VARCHAR, p_type, {NO_DOUBLE}, DATE '1998-01-01', DATE '1998-01-01', 1, md5('')
 FROM g1 WHERE genre_id NOT IN (SELECT genre_id FROM g2)
-UNION ALL SELECT 'dim_genres', NULL, genre_id::VARCHAR, p_type, {NO_DOUBLE}, DATE '2001-09-01', DATE '2001-09-01', 1 FROM g2
-UNION ALL SELECT 'fact_movies_daily_measures', id, n_items::VARCHAR, NULL, popularity, day, day, 1
-FROM (SELECT * FROM f1 UNION ALL SELECT * FROM f2)
-UNION ALL SELECT 'fact_person_popularity', {scd('c_custkey', P1)}, NULL, NULL, c_acctbal, CAST({P1} AS DATE), CAST({P1} AS DATE), 1
+UNION ALL SELECT 'dim_genres', NULL, genre_id::VARCHAR, p_type, {NO_DOUBLE}, DATE '2001-09-01', DATE '2001-09-01', 1, md5('') FROM g2
+UNION ALL SELECT 'fact_movies_daily_measures', id, n_items::VARCHAR, NULL, popularity, day, day, 1, {MEASURES_EVERY}
+FROM (SELECT * FROM f1 UNION ALL SELECT * FROM f2) f JOIN orders o ON o.o_orderkey = f.l_orderkey
+UNION ALL SELECT 'fact_person_popularity', {scd('c_custkey', P1)}, NULL, NULL, c_acctbal, CAST({P1} AS DATE), CAST({P1} AS DATE), 1, md5('')
 FROM customer
-UNION ALL SELECT 'fact_person_popularity', scd_id, NULL, NULL, popularity, CAST(dbt_valid_from AS DATE), CAST(dbt_valid_from AS DATE), 1
+UNION ALL SELECT 'fact_person_popularity', scd_id, NULL, NULL, popularity, CAST(dbt_valid_from AS DATE), CAST(dbt_valid_from AS DATE), 1, md5('')
 FROM people WHERE dbt_valid_from > CAST(CAST({P1} AS DATE) AS TIMESTAMP)"""
 
 ORACLE = {

@@ -296,8 +296,10 @@ def movie_marts_end_to_end(spark: SparkSession, d: str) -> DataFrame:
 # 30 --------------------------------------------------------------------------
 def movie_marts_compared(spark: SparkSession, d: str) -> DataFrame:
     """The same two builds; one narrow row for each row of all seven marts
-    (a row without validity counts as current on its day)."""
-    from tidemark.plans.build import build
+    (a row without validity counts as current on its day), with a hash of every
+    column that is not among them (a movie's credits are compared in their own mart)."""
+    from tidemark.functions.keys import ts_text
+    from tidemark.plans.build import MOVIE_DIM_COLUMNS, MOVIE_MEASURES, PERSON_DIM_COLUMNS, build
     from tidemark.session import state_dir
 
     root = f"{state_dir(spark)}/tidemark-marts-{uuid.uuid4().hex}"
@@ -305,22 +307,28 @@ def movie_marts_compared(spark: SparkSession, d: str) -> DataFrame:
     build(spark, fixtures.raw_until(raw, fixtures.MOVIE_LOAD_CUTOFF), root, run_date="1998-01-01", n_buckets=4)
     m = build(spark, raw, root, run_date="2001-09-01", n_buckets=4)
 
-    def rows(mart, id=None, ref=None, name=None, value=None, day="valid_from", until=None, current=None):
+    def text(mart, c):
+        t = m[mart].schema[c].dataType.simpleString()
+        out = F.col(c).cast("decimal(18,2)").cast("string") if t == "double" else ts_text(c) if t == "timestamp_ntz" else F.col(c).cast("string")
+        return F.coalesce(out, F.lit("-"))
+
+    def rows(mart, id=None, ref=None, name=None, value=None, day="valid_from", until=None, current=None, every=()):
         col = lambda c, t: (F.lit(None) if c is None else F.col(c) if isinstance(c, str) else c).cast(t)
         return m[mart].select(
             F.lit(mart).alias("mart"), col(id, "string").alias("id"), col(ref, "string").alias("ref"),
             col(name, "string").alias("name"), col(value, "double").alias("value"), col(day, "date").alias("day"),
-            col(until or day, "date").alias("until"), col(F.lit(1) if current is None else current, "int").alias("is_current"))
+            col(until or day, "date").alias("until"), col(F.lit(1) if current is None else current, "int").alias("is_current"),
+            F.md5(F.concat_ws("|", F.lit(""), *[text(mart, c) for c in every])).alias("every"))
 
     dated = {"until": "valid_to", "current": "is_current"}
     credit = F.concat_ws("|", "credit_id", F.coalesce("character", F.lit("-")), "department", "job")
     return unions.union_all([
-        rows("dim_movies", "dim_movie_id", "tmdb_id", "title", **dated),
-        rows("dim_persons", "dim_person_id", "tmdb_id", "name", "popularity", **dated),
-        rows("dim_movies_genres", "dim_movie_genre_id", "genre_id", "dim_movie_id", "genre_weight", **dated),
-        rows("dim_credits", "dim_credit_id", "tmdb_person_id", credit, **dated),
+        rows("dim_movies", "dim_movie_id", "tmdb_id", "title", every=[c for c in MOVIE_DIM_COLUMNS if c != "credits"], **dated),
+        rows("dim_persons", "dim_person_id", "tmdb_id", "name", "popularity", every=PERSON_DIM_COLUMNS, **dated),
+        rows("dim_movies_genres", "dim_movie_genre_id", "genre_id", "dim_movie_id", "genre_weight", every=["dbt_valid_from", "dbt_valid_to"], **dated),
+        rows("dim_credits", "dim_credit_id", "tmdb_person_id", credit, every=["dim_movie_id", "tmdb_movie_id"], **dated),
         rows("dim_genres", ref="genre_id", name="genre_name", day="load_date"),
-        rows("fact_movies_daily_measures", "dim_movie_id", "vote_count", value="popularity", day="fact_date"),
+        rows("fact_movies_daily_measures", "dim_movie_id", "vote_count", value="popularity", day="fact_date", every=MOVIE_MEASURES),
         rows("fact_person_popularity", "dim_person_id", value="popularity", day="fact_date"),
     ])
 

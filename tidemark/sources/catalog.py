@@ -122,8 +122,9 @@ LINEITEM_CATALOG = [
 
 def describe_source(df: DataFrame, table_name: str, columns: list[tuple[str, str, str]]) -> DataFrame:
     counts = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, (c, _, _) in enumerate(columns)])
+    quoted = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
     stack = ", ".join(
-        "{}, {}, {}, n{}".format(*(repr(x).replace('"', "'") for x in (c, t, d)), i)
+        "{}, {}, {}, n{}".format(*map(quoted, (c, t, d)), i)
         for i, (c, t, d) in enumerate(columns)
     )
     return counts.selectExpr(

@@ -56,7 +56,7 @@ def read_export_lines(spark: SparkSession, path: str, schema: StructType,
         df = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
     else:
         first = number_lines(spark, path).filter(F.col("line") <= limit)
-        first = first.filter(F.trim("value") != "")  # the reader skips blank lines too
+        first = first.filter(F.trim("value") != "").orderBy("file", "line")  # the reader skips blank lines too
         df = first.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
     return df.hint("rebalance") if spread else df
 
