@@ -8,11 +8,16 @@ length picks boundaries and kinds jointly.  Its spans are added where they
 overlap no base span and beat the reading without them by MARGIN.
 
 The field is trained by conditional likelihood on zones of a hashed sample of
-documents (at most ZONES zones), labelled with the base spans; numbers that
-only look like data are its negatives.
-
-NULL and empty texts have no span; a text is scanned whole, in time linear in
-its length; other columns are ignored; repeated rows are each in the result;
+documents (at most ZONES zones of at most ZONE_CHARS code points), labelled with the
+base spans; numbers that only look like data are its negatives.  So that it doesn't
+just learn the rules again, what they rest on is held back in variants of the zones
+(``variants``): phones without their plus sign or with other separators, cards with
+a mistyped digit, octets with another separator, addresses without a dotted domain; and
+dates, versions, counts and file numbers made of the same digits, which are no data.
+
+NULL and empty texts have no span; a text, however long, is scanned whole, in time
+linear in its length; of equally good readings the one with fewer segments is taken;
+other columns are ignored; repeated rows are each in the result, alike;
 an empty table gives an empty table.
 """
 
@@ -29,9 +34,9 @@ from tidemark.llm.common import small_batches
 KINDS = ("email", "ip", "card", "phone")
 SPANS = "doc_id long, spans array<struct<kind:string,start:int,end:int,base:boolean,score:double>>"
 #: Code points kept on each side of a digit or at sign; tokens a segment may have; bound of the training sample.
-AROUND, LONGEST, ZONES, STEPS = 24, 16, 300, 20
-#: Log-odds a span of the field needs over the best reading without it.
-MARGIN = 4.0
+AROUND, LONGEST, ZONES, ZONE_CHARS, STEPS = 24, 16, 300, 400, 40
+#: Log-odds a span of the field needs over the best reading without it; chosen on zones outside the sample.
+MARGIN = 2.0
 
 _TRIGGER = re.compile(r"[0-9@]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -40,6 +45,9 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
+_OCTETS = re.compile(r"[0-9]{1,3}([.-])[0-9]{1,3}\1[0-9]{1,3}\1[0-9]{1,3}")
+_DATE = re.compile(r"(?:19|20)[0-9]{2}[-.][01][0-9][-.][0-3][0-9]|[0-3][0-9][-.][01][0-9][-.](?:19|20)[0-9]{2}")
+_NUMBER = re.compile(r"[0-9]+\.[0-9]+")
 _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^A-Za-z0-9]")
 
 
@@ -114,12 +122,14 @@ def features(before: str, s: str, after: str) -> list[int]:
         s[0] == "+", "(" in s, s.count("(") != s.count(")"), "-" in s, " " in s, "  " in s, s.isdigit(), s.count(".") == 1, s.count(".") == 2, s.count(".") == 3, s.count(".") > 3,
         max(runs, default=0) > 4, len(runs) == 1, len(runs) in (3, 4), len(runs) > 5,
         before.isalnum() or before in ("@", "+", "_"), after.isalnum() or after in ("@", "_"), after == "." , before in (".", "-", "("), after in ("-", ")"),
+        len(runs) >= 3 and runs[:-1] == [4] * (len(runs) - 1), runs[-2:] == [3, 4], runs[-1:] == [4], bool(_OCTETS.fullmatch(s)) and all(int(x) <= 255 for x in re.findall("[0-9]+", s)),
+        bool(_DATE.match(s)), digits[:2] == "00", digits[:1] == "0", len(set(s) & set(" .-")) > 1, bool(_NUMBER.fullmatch(s)), max(runs, default=0) > 6, before in ("#", "/", "$", "=", ":", "v", "€") or after in ("/", "%", ":", ","),
         s[-1].isdigit(), s[-1].isalpha(), s[0].isdigit(), s[0].isalpha(), bool(at) and len(domain.rpartition(".")[2]) >= 2 and domain.rpartition(".")[2].isalpha(),
     ]
     return [i for i, x in enumerate(held) if x]
 
 
-N_FEATURES = 40
+N_FEATURES = 51
 
 
 def segments(text: str, lo: int, hi: int):
@@ -184,6 +194,54 @@ def train(examples) -> list[list[float]]:
     return w.tolist()
 
 
+def variants(kind: str, s: str) -> list[tuple[str | None, str]]:
+    """Forms of a base span that the rules miss, each with its kind; with None, texts of the same digits that are no data."""
+    d = _digits(s)
+    if kind == "phone":
+        runs = re.findall("[0-9]+", s)
+        rest, cc = (runs[1:], runs[0]) if len(runs) > 2 and len(runs[0]) <= 3 else ([d[-10:-7], d[-7:-4], d[-4:]], d[:-10] or "1")
+        return [
+            ("phone", s[1:]), ("phone", "00" + s[1:]), ("phone", "-".join(rest)), ("phone", ".".join([cc, *rest])), ("phone", f"({rest[0]}) " + "-".join(rest[1:])), ("phone", " ".join(["0" + rest[0], *rest[1:]])),
+            (None, f"20{d[:2]}-0{int(d[2]) % 9 + 1}-1{d[3]} {d[4:6]}"), (None, f"{d[:3]}.{d[3:9]}"), (None, d), (None, f"{d[:5]}-{d[5:10]}-{d[10:]}x"),
+        ]
+    if kind == "card":
+        wrong = d[:-1] + str((int(d[-1]) + 3) % 10)
+        four = lambda x: [x[i : i + 4] for i in range(0, len(x), 4)]
+        return [
+            ("card", " ".join(four(wrong))), ("card", "-".join(four(wrong))), ("card", ".".join(four(d))), ("card", " ".join(four(d[:5] + d[6:7] + d[5:6] + d[7:]))),
+            (None, wrong), (None, f"{d[:6]}.{d[6:]}"), (None, f"20{d[:2]}-12-0{int(d[2]) % 9 + 1} {d[3:5]}"), (None, f"978-{d[0]}-{d[1:3]}-{d[3:9]}-{d[9]}"),
+        ]
+    if kind == "ip":
+        octets = s.split(".")
+        large = f"{octets[0]}.{octets[1]}.{octets[2]}.{300 + int(octets[3]) % 600}"
+        return [("ip", "-".join(octets)), (None, large), (None, ".".join([*octets, "7"])), (None, f"{octets[0]}.{octets[1]}-{octets[2]}{octets[3]}")]
+    local, _, domain = s.partition("@")
+    host = domain.split(".")[0]
+    return [("email", f"{local}@{host}"), (None, f"@{host}"), (None, f"{local} @ {host}")]
+
+
+def examples_of(zone: str) -> list[tuple[int, list, list]]:
+    """A zone's training examples: as it is, and for each variant of each of its base spans one with that put in."""
+    base, out = base_spans(zone), []
+
+    def add(text, gold):
+        tokens, found = segments(text, 0, len(text))
+        if found:
+            out.append((len(tokens), found, [gold.get((tokens[i][0], tokens[j - 1][1])) for i, j, _ in found]))
+
+    add(zone, {(a, b): KINDS.index(k) for k, a, b in base})
+    for kind, a, b in base:
+        if any((x, y) != (a, b) and x < b and a < y for _, x, y in base):
+            continue  # spans of two kinds overlap here
+        for new, put in variants(kind, zone[a:b]):
+            moved = len(put) - (b - a)
+            gold = {(x + moved * (x >= b), y + moved * (x >= b)): KINDS.index(k) for k, x, y in base if (x, y) != (a, b)}
+            if new:
+                gold[a, a + len(put)] = KINDS.index(new)
+            add(zone[:a] + put + zone[b:], gold)
+    return out
+
+
 def decode(text: str, weights) -> list[tuple[str, int, int, float]]:
     """The most likely segments of every zone, with their margins over the reading without them."""
     out = []
@@ -229,20 +287,13 @@ def fit(docs: DataFrame) -> list[list[float]]:
                 (x, text[lo:hi])
                 for x, text in zip(batch.column("h").to_pylist(), batch.column("text").to_pylist())
                 for lo, hi in zones(text)[:ZONES]
-                if hi - lo <= 400
+                if hi - lo <= ZONE_CHARS
             ]
             yield pa.RecordBatch.from_pydict({"h": pa.array([r[0] for r in rows], pa.float64()), "zone": pa.array([r[1] for r in rows], pa.string())})
 
     near = some.select(h.alias("h"), "text").filter(F.col("h") * max(n, 1) < 4 * ZONES)
     got = near.mapInArrow(cut, "h double, zone string").orderBy("h", "zone").limit(ZONES).collect()
-    examples = []
-    for r in got:
-        zone = r["zone"]
-        gold = {(a, b): KINDS.index(k) for k, a, b in base_spans(zone)}
-        tokens, found = segments(zone, 0, len(zone))
-        if found:
-            examples.append((len(tokens), found, [gold.get((tokens[i][0], tokens[j - 1][1])) for i, j, _ in found]))
-    return train(examples)
+    return train([e for r in got for e in examples_of(r["zone"])])
 
 
 def find_spans(docs: DataFrame, weights: list[list[float]] | None = None) -> DataFrame:
