@@ -140,3 +140,20 @@ def test_queries(spark, sf):
     got = Counter((r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in queries.op3_exact_dedup(spark, sf).collect())
     assert got == Counter(brute_exact(rows)[0])
     assert found(queries.op4_ngram_join(spark, sf)) == brute_components(rows, 4, 85)
+
+
+def test_a_hot_shingle_is_one_entry_a_message(spark, monkeypatch):
+    """Document frequencies over many messages, of a passage that a third of the documents share, against a plain count."""
+    import random
+    from collections import Counter
+
+    monkeypatch.setattr(ngram_join, "ROUND", 500)
+    r = random.Random(9)
+    words = lambda n: " ".join(r.choice("abcdefghij") + str(r.randrange(300)) for _ in range(n))
+    shared = words(20)
+    texts = [f"{words(20)} {shared if i % 3 == 0 else words(20)} {words(5)}" for i in range(600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    slots, classes, bits = ngram_join._frequent(docs, 3, ngram_join.scratch_root(spark))
+    count = Counter(int(h) >> (64 - bits) for t in texts for h in ngram_join.shingles(t, 3))
+    want = {s: int(np.log2(n / ngram_join.FREQUENT) + 2) for s, n in count.items() if n >= ngram_join.FREQUENT}
+    assert dict(zip(slots.tolist(), classes.tolist())) == want and max(want.values()) == 5

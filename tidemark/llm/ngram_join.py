@@ -5,7 +5,7 @@ of sizes n have Jaccard similarity t or more, then under any order of all
 shingles their first n - ceil(t n) + 1 have one in common.
 
 1. Document frequencies of all shingles: tasks send sorted, gap-coded shingle
-   slots to their owners, which count them.  Shingles in FREQUENT documents or
+   slots, each once with its count, to their owners, which add them up.  Shingles in FREQUENT documents or
    more form a table of frequency classes, of at most TABLE entries (with more,
    the lowest classes are left out; that costs time, not results).
 2. Every order sorts by class first, so rare shingles lead and shared passages
@@ -27,8 +27,9 @@ The component of a document is the least doc_id that links reach.  Equal sets
 are one node from the start.  A row without doc_id has no component; rows that
 share a doc_id are one node, linked where any of them is.  NULL, empty and
 blank texts have an empty set and no link; a text with fewer words than a
-shingle is one shingle.  Other columns are ignored; an empty table gives an
-empty table.
+shingle is one shingle.  Very long texts are sets like others, made in one task each.  Other
+columns are ignored by ``near_duplicates`` and passed on as they are by
+``drop_near_duplicates``; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import broadcast_if_small, partitions, scratch_root, small_batches, written
+from tidemark.llm.common import as_row, broadcast_if_small, partitions, scratch_root, small_batches, written
 from tidemark.llm.components import components
 
 FREQUENT, TABLE = 16, 2_000_000
@@ -47,6 +48,8 @@ ORDERS = 3
 ROUND, RUN = 2_000_000, 64
 #: Shingles an owner counts; members of a hub that one group of the verification has.
 OWNED, MEMBERS = 8_000_000, 1_000
+#: Bytes of a word with its space, by which shingles are reckoned before they are made.
+WORD_BYTES = 6
 
 _MIX = 0x9E3779B97F4A7C15
 _SEEDS = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)
@@ -107,9 +110,10 @@ def _frequent(docs: DataFrame, n: int, root: str) -> tuple:
     import numpy as np
 
     spark = docs.sparkSession
-    rows = docs.count()
-    bits = min(48, max(32, math.ceil(math.log2(rows * 512 + 1)) + 3))
-    owners = max(partitions(spark), rows * 512 // OWNED)
+    rows, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()
+    words = rows + size // WORD_BYTES  # more than there are shingles, as a rule
+    bits = min(48, max(32, math.ceil(math.log2(words + 1)) + 3))
+    owners = max(partitions(spark), words // OWNED)
     bounds = [(i << bits) // owners for i in range(owners + 1)]
 
     def send(batches):
@@ -118,15 +122,18 @@ def _frequent(docs: DataFrame, n: int, root: str) -> tuple:
         held, size = [], 0
 
         def flush():
-            slots = np.sort(np.concatenate(held))
+            slots, counts = np.unique(np.concatenate(held), return_counts=True)  # a hot shingle is one entry
             ends = np.searchsorted(slots, np.array(bounds, dtype=np.uint64))
             who = np.flatnonzero(np.diff(ends)).tolist()
-            coded = []
+            coded, often = [], []
             for o in who:
                 gaps = np.diff(slots[ends[o] : ends[o + 1]], prepend=np.uint64(bounds[o]))
                 coded.append(gaps.astype("<u2" if gaps.max() < 1 << 16 else "<u8").tobytes())
-            counts = [int(ends[o + 1] - ends[o]) for o in who]
-            return pa.RecordBatch.from_arrays([pa.array(who, pa.int32()), pa.array(counts, pa.int32()), pa.array(coded, pa.binary())], names=["owner", "n", "gaps"])
+                mine = counts[ends[o] : ends[o + 1]]
+                more = np.flatnonzero(mine > 1)
+                often.append(np.stack([more, mine[more]], axis=1).astype("<u4").tobytes())
+            sizes = [int(ends[o + 1] - ends[o]) for o in who]
+            return pa.RecordBatch.from_arrays([pa.array(who, pa.int32()), pa.array(sizes, pa.int32()), pa.array(coded, pa.binary()), pa.array(often, pa.binary())], names=["owner", "n", "gaps", "often"])
 
         for batch in batches:
             for t in batch.column("text").to_pylist():
@@ -142,16 +149,23 @@ def _frequent(docs: DataFrame, n: int, root: str) -> tuple:
         import pyarrow as pa
 
         low = np.uint64(bounds[key[0].as_py()])
-        got = []
-        for m, gaps in zip(table.column("n").to_pylist(), table.column("gaps").to_pylist()):
+        got, times = [], []
+        for m, gaps, often in zip(*(table.column(c).to_pylist() for c in ("n", "gaps", "often"))):
             got.append(np.cumsum(np.frombuffer(gaps, dtype=f"<u{len(gaps) // m}").astype(np.uint64)) + low)
-        slots, counts = np.unique(np.concatenate(got), return_counts=True)
+            times.append(np.ones(m, dtype=np.uint32))
+            more = np.frombuffer(often, dtype="<u4").reshape(-1, 2)
+            times[-1][more[:, 0]] = more[:, 1]
+        slots, times = np.concatenate(got), np.concatenate(times)
+        by = np.argsort(slots, kind="stable")
+        slots, times = slots[by], times[by]
+        first = np.flatnonzero(np.concatenate([[True], slots[1:] != slots[:-1]]))
+        slots, counts = slots[first], np.add.reduceat(times.astype(np.int64), first)
         often = counts >= FREQUENT
         classes = (np.log2(counts[often] / FREQUENT) + 2).astype(np.uint8)
         by = np.bincount(classes, minlength=64)
         return pa.table({"slots": [slots[often].astype("<u8").tobytes()], "classes": [classes.tobytes()], "by_class": pa.array([by.tolist()], pa.list_(pa.int64()))})
 
-    sent = docs.select("text").mapInArrow(send, "owner int, n int, gaps binary")
+    sent = docs.select("text").mapInArrow(send, "owner int, n int, gaps binary, often binary")
     table = written(sent.groupBy("owner").applyInArrow(count, "slots binary, classes binary, by_class array<long>"), "frequent", root)
     by_class = np.zeros(64, dtype=np.int64)
     for r in table.select("by_class").collect():  # 64 numbers an owner
@@ -407,6 +421,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
 
 def drop_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the document with the least doc_id."""
-    found = near_duplicates(docs, n, percent).filter("component_id <> doc_id").select(F.col("doc_id").alias("_id")).distinct()
+    found = near_duplicates(docs, n, percent).filter("component_id <> doc_id").select(F.col("doc_id").alias("lost")).distinct()
     found = broadcast_if_small(written(found, "dropped"))
-    return docs.join(found, F.col("doc_id").cast("long") == F.col("_id"), "left_anti")
+    keyed = as_row(docs, F.col("doc_id").cast("long").alias("doc"))
+    return keyed.join(found, F.col("doc") == F.col("lost"), "left_anti").select("row.*")
