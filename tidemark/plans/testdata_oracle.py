@@ -175,7 +175,7 @@ MOVIE_EVERY = every(
     "v.part_no + 60", "lower(o_orderstatus)", "NULL", "NULL", "NULL", "NULL", "NULL", "NULL", "NULL", "v.title", "NULL", "o_custkey", "o_orderpriority",
     "NULL", "NULL", "o_orderstatus = 'P'", "NULL")
 PERSON_EVERY = every(
-    "v.tmdb_id", "NULL", "NULL", "NULL", "NULL", "NULL", "v.name", "NULL", "NULL", cents("v.popularity"), "v.load_id", ts_text("v.dbt_valid_from"),
+    "v.tmdb_id", "NULL", "NULL", "NULL", "NULL", "NULL", "v.name", "NULL", "NULL", cents("v.popularity"), "NULL", "v.load_id", ts_text("v.dbt_valid_from"),
     row_id("v.load_id", "v.tmdb_id"), "NULL", "NULL")
 MEASURES_EVERY = every(cents("popularity"), cents("n_items / 4"), "n_items", "CAST(round(o_totalprice) AS BIGINT)", "NULL")
 
