@@ -47,7 +47,7 @@ ORDERS = 3
 #: Shingles or prefix entries a task gathers before it sends them, and the longest run that is paired as it stands.
 ROUND, RUN = 2_000_000, 64
 #: Shingles an owner counts; members of a hub that one group of the verification has.
-OWNED, MEMBERS = 8_000_000, 1_000
+OWNED, MEMBERS = 4_000_000, 1_000
 #: Bytes of a word with its space, by which shingles are reckoned before they are made.
 WORD_BYTES = 6
 
@@ -273,20 +273,26 @@ def _rare_candidates(prefixes: DataFrame, percent: int) -> DataFrame:
         many = np.repeat(long > RUN, long)
         few = ~many & np.repeat(long > 1, long)
         hf, df, mf, af = h[few], doc[few], m[few], at[few]
-        out = [np.zeros((0, 2), dtype=np.int64)]
+        ids, code = np.unique(df, return_inverse=True)  # a pair is one number; pairs that share many shingles are made often
+        out, made = [np.zeros(0, dtype=np.int64)], 0
         for d in range(1, int(min(RUN, long.max(initial=1)))):
             same = hf[d:] == hf[:-d]
             if not same.any():
                 break
             needed = -(-percent * (mf[:-d] + mf[d:]) // (100 + percent))
             ok = same & (df[:-d] != df[d:]) & (af[:-d] <= mf[:-d] - needed) & (af[d:] <= mf[d:] - needed)
-            out.append(np.stack([df[:-d][ok], df[d:][ok]], axis=1))
-        pairs = np.unique(np.concatenate(out), axis=0)
+            out.append(code[:-d][ok] * len(ids) + code[d:][ok])
+            made += len(out[-1])
+            if made > ROUND:
+                out = [np.unique(np.concatenate(out))]
+                made = 0
+        pairs = np.unique(np.concatenate(out))
+        left, right = ids[pairs // max(1, len(ids))], ids[pairs % max(1, len(ids))]
         none = lambda k: pa.nulls(k, pa.int64())
         k = int(many.sum())
         return pa.table({
-            "a": pa.array(np.concatenate([pairs[:, 0], doc[many]])),
-            "b": pa.concat_arrays([pa.array(pairs[:, 1]), none(k)]),
+            "a": pa.array(np.concatenate([left, doc[many]])),
+            "b": pa.concat_arrays([pa.array(right), none(k)]),
             "token": pa.concat_arrays([none(len(pairs)), pa.array((np.int64(key[0].as_py()) << np.int64(32)) | h[many])]),
             "at": pa.concat_arrays([none(len(pairs)), pa.array(at[many])]),
             "n": pa.concat_arrays([none(len(pairs)), pa.array(m[many])]),
