@@ -9,7 +9,7 @@
 3. Each source has a weight schedule over the run's time (0 to 1), piecewise
    linear.  Its integral is the source's cumulative demand; inverting that at a
    document's offset gives the position at which training wants it, and
-   ``in_training_order`` sorts by ranges of position.
+   ``readings`` and ``in_training_order`` sort by ranges of position.
 
 Size: number of ``[^\\x20\\x09-\\x0D]+`` in the text (NULL: 0).  Documents without words take
 nothing.  A NULL source is a source of its own, ordered last; sources weigh
@@ -119,12 +119,47 @@ def plan(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights=WEIGHTS)
     return rows, units
 
 
+def readings(units: DataFrame) -> DataFrame:
+    """The plan carried out: one row for each reading of a document, in training order.
+
+    nth (from 0), words (fewer than ``size`` where a target ends), at: its position, the schedule
+    inverted at the offset of this reading in the source's stream (each reading of the whole source
+    lies a source's length behind the one before), and place: its number in the order, gapless from 0.
+    Repeated rows are read together."""
+    spark, size = units.sparkSession, F.col("size")
+    times = F.floor((F.col("taken") + size - 1) / size)
+    read = units.filter("taken > 0").select("*", F.explode(F.sequence(F.lit(0).cast("long"), times - 1)).alias("nth"))
+    offset = F.col("start") + F.col("nth") * F.col("source_size")
+    read = read.select(
+        "source", "doc_id", "h", "nth", F.least(size, F.col("taken") - F.col("nth") * size).alias("words"),
+        position(F.least(offset / F.col("target"), F.lit(1.0)), F.col("turn")).alias("at"))
+    order = ["at", "h", "doc_id", "nth"]
+    read = read.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
+    line = F.monotonically_increasing_id()  # task and line of the sorted rows
+    read = written(read.select("*", F.shiftrightunsigned(line, 33).alias("part"), line.bitwiseAND((1 << 33) - 1).alias("line")), "readings")
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a task
+    parts = read.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    return read.join(F.broadcast(parts), "part").withColumn("place", F.col("base") + F.col("line")).drop("part", "line", "base")
+
+
 def mix(docs: DataFrame, **how) -> DataFrame:
-    """Every row of ``docs``: doc_id, source, size, source_size, target, taken, position."""
+    """Every row of ``docs``: doc_id, source, size, source_size, target, and what its readings in the mix add up to.
+
+    taken: their words; readings: how many; last_position, first_place and last_place: where training reads
+    it (NULL if it does not).  position: where the stream first comes to the document, read or not."""
     rows, units = plan(docs, **how)
-    u = units.select(F.col("source").alias("_s"), F.col("doc_id").alias("_d"), F.col("h").alias("_h"), "source_size", "target", "taken", "position")
-    same = (rows.h == F.col("_h")) & rows.source.eqNullSafe(F.col("_s")) & rows.doc_id.eqNullSafe(F.col("_d"))
-    return rows.join(u, same).select("doc_id", "source", "size", "source_size", "target", "taken", "position")
+    units = written(units, "placed")
+    key = ["source", "doc_id", "h"]
+    got = readings(units).groupBy(*[F.col(c).alias(f"_{c}") for c in key]).agg(
+        F.sum("words").alias("taken"), F.count("*").alias("readings"), F.max("at").alias("last_position"),
+        F.min("place").alias("first_place"), F.max("place").alias("last_place"))
+    same = lambda a: [a[c].eqNullSafe(F.col(f"_{c}")) if c != "h" else a[c] == F.col(f"_{c}") for c in key]
+    none = F.lit(0).cast("long")
+    units = units.drop("taken", "size").join(got, same(units), "left").select(
+        *[F.col(c).alias(f"_{c}") for c in key], "source_size", "target", F.coalesce("taken", none).alias("taken"), "position",
+        F.coalesce("readings", none).alias("readings"), "last_position", "first_place", "last_place")
+    return rows.join(units, same(rows)).select(
+        "doc_id", "source", "size", "source_size", "target", "taken", "position", "readings", "last_position", "first_place", "last_place")
 
 
 def _courses(units: DataFrame) -> DataFrame:

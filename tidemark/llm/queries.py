@@ -46,7 +46,9 @@ def op5_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "position")
+    """What the readings of the mix, in training order, add up to for each document."""
+    mixed = mixing.mix(documents(spark, sf_dir))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "position", "readings", "last_position", "first_place", "last_place")
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
