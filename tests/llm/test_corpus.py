@@ -143,6 +143,20 @@ def test_the_mix_reads_in_training_order(spark, monkeypatch):
     assert early() > before + 50
 
 
+def test_the_mix_writes_each_row_twice(spark, monkeypatch):
+    """Its scratch tables are the sizes and the ordered readings (and a row a source): every file is two processes that a local executor starts."""
+    tables, write = {}, mixing.written
+    monkeypatch.setattr(mixing, "written", lambda df, name, *a: tables.setdefault(name, write(df, name, *a)))
+    rows = [(i, "w " * (i % 7), "abc"[i % 3]) for i in range(200)] + [(7, "w " * 0, "b")] * 2 + [(None, None, None)] * 2 + [(508, "two words", None)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs).collect()
+    check_mix(got, rows)
+    assert tables.keys() == {"sizes", "targets", "readings"} and tables["sizes"].count() == len(rows)
+    unread = [r for r in got if not r["taken"]]
+    assert unread and all((r["readings"], r["last_position"], r["first_place"], r["last_place"]) == (0, None, None, None) for r in unread)
+    assert sorted(p for r in {r["doc_id"]: r for r in got if r["taken"]}.values() for p in {r["first_place"], r["last_place"]}) == list(range(tables["readings"].filter("nth is not null").count()))
+
+
 def test_language(spark, docs, no_docs, fixture_rows):
     got = langid.identify(docs)
     rows = got.collect()

@@ -93,14 +93,13 @@ def plan(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights=WEIGHTS)
     spark = docs.sparkSession
     root = scratch_root(spark)
     rows = written(_key(docs), "sizes", root)
-    units = rows.groupBy("source", "doc_id", "h", "size").agg(F.count("*").alias("rows"))
     n = rows.count()
     buckets = max(partitions(spark), -(-n // BUCKET_ROWS))
     # buckets are equal ranges of the hash, so their order is the order of the hash
-    unit = F.floor(F.shiftrightunsigned("h", 2).cast("double") * F.lit(buckets / 2.0**62)).cast("int")
-    units = units.select("*", unit.alias("bucket"), (F.col("size") * F.col("rows")).alias("words"), F.shiftrightunsigned("h", 2).alias("o"))
-    units = written(units, "units", root)
-    sums = units.groupBy("source", "bucket").agg(F.sum("words").alias("words"))
+    bucket = F.floor(F.shiftrightunsigned("h", 2).cast("double") * F.lit(buckets / 2.0**62)).cast("int").alias("bucket")
+    units = rows.groupBy("source", "doc_id", "h", "size").agg(F.count("*").alias("rows"))
+    units = units.select("*", bucket, (F.col("size") * F.col("rows")).alias("words"), F.shiftrightunsigned("h", 2).alias("o"))
+    sums = rows.groupBy("source", bucket).agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select("source", "bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("base"))
     goal = written(targets(rows, share, cap, weights), "targets", root)
@@ -119,27 +118,33 @@ def plan(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights=WEIGHTS)
     return rows, units
 
 
-def readings(units: DataFrame) -> DataFrame:
-    """The plan carried out: one row for each reading of a document, in training order.
-
-    nth (from 0), words (fewer than ``size`` where a target ends), at: its position, the schedule
-    inverted at the offset of this reading in the source's stream (each reading of the whole source
-    lies a source's length behind the one before), and place: its number in the order, gapless from 0.
-    Repeated rows are read together."""
-    spark, size = units.sparkSession, F.col("size")
+def _ordered(units: DataFrame) -> DataFrame:
+    """The units, with a row for each reading, in training order, written; those without a reading (nth, words, at and place NULL) come last."""
+    spark, size, nth = units.sparkSession, F.col("size"), F.col("nth")
     times = F.floor((F.col("taken") + size - 1) / size)
-    read = units.filter("taken > 0").select("*", F.explode(F.sequence(F.lit(0).cast("long"), times - 1)).alias("nth"))
-    offset = F.col("start") + F.col("nth") * F.col("source_size")
+    read = units.select("*", F.explode_outer(F.when(F.col("taken") > 0, F.sequence(F.lit(0).cast("long"), times - 1))).alias("nth"))
+    offset = F.col("start") + nth * F.col("source_size")
+    at = position(F.least(offset / F.col("target"), F.lit(1.0)), F.col("turn"))
     read = read.select(
-        "source", "doc_id", "h", "nth", F.least(size, F.col("taken") - F.col("nth") * size).alias("words"),
-        position(F.least(offset / F.col("target"), F.lit(1.0)), F.col("turn")).alias("at"))
-    order = ["at", "h", "doc_id", "nth"]
+        "source", "doc_id", "h", "size", "source_size", "target", "position", "nth",
+        F.when(nth.isNotNull(), F.least(size, F.col("taken") - nth * size)).alias("words"), F.when(nth.isNotNull(), at).alias("at"))
+    order = [F.col("at").asc_nulls_last(), "h", "doc_id", "nth"]
     read = read.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
     line = F.monotonically_increasing_id()  # task and line of the sorted rows
     read = written(read.select("*", F.shiftrightunsigned(line, 33).alias("part"), line.bitwiseAND((1 << 33) - 1).alias("line")), "readings")
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a task
     parts = read.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    return read.join(F.broadcast(parts), "part").withColumn("place", F.col("base") + F.col("line")).drop("part", "line", "base")
+    return read.join(F.broadcast(parts), "part").withColumn("place", F.when(nth.isNotNull(), F.col("base") + F.col("line"))).drop("part", "line", "base")
+
+
+def readings(units: DataFrame) -> DataFrame:
+    """The plan carried out: one row for each reading of a document, in training order.
+
+    nth (from 0), words (fewer than ``size`` where a target ends), at: its position, the schedule
+    inverted at the offset of this reading in the source's stream (each reading of the whole source
+    lies a source's length behind the one before), and place: its number in the order, gapless from 0.
+    Repeated rows are read together."""
+    return _ordered(units).filter("nth is not null").select("source", "doc_id", "h", "nth", "words", "at", "place")
 
 
 def mix(docs: DataFrame, **how) -> DataFrame:
@@ -148,17 +153,12 @@ def mix(docs: DataFrame, **how) -> DataFrame:
     taken: their words; readings: how many; last_position, first_place and last_place: where training reads
     it (NULL if it does not).  position: where the stream first comes to the document, read or not."""
     rows, units = plan(docs, **how)
-    units = written(units, "placed")
-    key = ["source", "doc_id", "h"]
-    got = readings(units).groupBy(*[F.col(c).alias(f"_{c}") for c in key]).agg(
-        F.sum("words").alias("taken"), F.count("*").alias("readings"), F.max("at").alias("last_position"),
+    key = ["source", "doc_id", "h", "size"]
+    units = _ordered(units).groupBy(*[F.col(c).alias(f"_{c}") for c in key], "source_size", "target", "position").agg(
+        F.coalesce(F.sum("words"), F.lit(0)).cast("long").alias("taken"), F.count("nth").alias("readings"), F.max("at").alias("last_position"),
         F.min("place").alias("first_place"), F.max("place").alias("last_place"))
-    same = lambda a: [a[c].eqNullSafe(F.col(f"_{c}")) if c != "h" else a[c] == F.col(f"_{c}") for c in key]
-    none = F.lit(0).cast("long")
-    units = units.drop("taken", "size").join(got, same(units), "left").select(
-        *[F.col(c).alias(f"_{c}") for c in key], "source_size", "target", F.coalesce("taken", none).alias("taken"), "position",
-        F.coalesce("readings", none).alias("readings"), "last_position", "first_place", "last_place")
-    return rows.join(units, same(rows)).select(
+    same = [rows[c].eqNullSafe(F.col(f"_{c}")) if c in ("source", "doc_id") else rows[c] == F.col(f"_{c}") for c in key]
+    return rows.join(units, same).select(
         "doc_id", "source", "size", "source_size", "target", "taken", "position", "readings", "last_position", "first_place", "last_place")
 
 
